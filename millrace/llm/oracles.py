@@ -5,6 +5,26 @@ from __future__ import annotations
 _WS = r"[^\x20\x09-\x0D]+"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+OP1 = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WS}') AS l FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(l, i, i + 34), ' ')) AS h
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) - 33)) AS i FROM w)
+), again AS (
+  SELECT h FROM win GROUP BY h HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS pos FROM win SEMI JOIN again USING (h)
+), word AS (
+  SELECT doc_id, pos, l[pos] AS word FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS pos FROM w)
+), kept AS (
+  SELECT word.doc_id, count(*) AS n_words, count(g.pos) AS n_removed, string_agg(word, ' ' ORDER BY word.pos) FILTER (WHERE g.pos IS NULL) AS kept
+  FROM word LEFT JOIN gone g ON word.doc_id = g.doc_id AND word.pos = g.pos GROUP BY word.doc_id
+)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
 OP2 = rf"""
 WITH parts AS (
   SELECT page_id, url,
@@ -102,4 +122,4 @@ OP10 = _op10()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2, "op9_line_dedup": OP9, "op10_mixing": OP10}
+    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op9_line_dedup": OP9, "op10_mixing": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, sharding, url_filters
+from . import line_dedup, mixing, sharding, substring_dedup, url_filters
 from .common import table
 
 #: The rules that op2 has to know.
@@ -20,6 +20,11 @@ URL_RULES = (
 )
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*[url_filters.prefix_rule(*r) for r in URL_RULES], *url_filters.DEFAULT_PATTERNS]
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -51,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_url_filters": op2_url_filters,
         "op5_sharding": op5_sharding,
         "op9_line_dedup": op9_line_dedup,
