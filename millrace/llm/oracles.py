@@ -55,6 +55,34 @@ SELECT p.page_id, p.host, p.path, f.rule,
 FROM pattern p LEFT JOIN fit f ON f.page_id = p.page_id AND f.url = p.url AND f.n = 1
 """
 
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP8 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_ALNUM}') AS l FROM documents
+), b AS (
+  SELECT item_id, l, least(8, len(l)) AS k
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_ALNUM}') AS l FROM benchmark)
+  WHERE len(l) > 0
+), win AS (
+  SELECT DISTINCT item_id, k, array_to_string(list_slice(l, i, i + k - 1), ' ') AS w
+  FROM (SELECT item_id, l, k, unnest(range(1, len(l) - k + 2)) AS i FROM b)
+), place AS (
+  SELECT doc_id, k, i, array_to_string(list_slice(l, i, i + k - 1), ' ') AS w
+  FROM (SELECT doc_id, l, k, unnest(range(1, len(l) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win) ks WHERE len(l) >= k)
+), found AS (
+  SELECT p.doc_id, p.k, p.i, w.item_id FROM place p JOIN win w ON p.k = w.k AND p.w = w.w
+), hit AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.l) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
 OP9 = rf"""
 WITH lines AS (
   SELECT doc_id, pos, l[pos] AS line,
@@ -122,4 +150,4 @@ OP10 = _op10()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op9_line_dedup": OP9, "op10_mixing": OP10}
+    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}

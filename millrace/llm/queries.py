@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, sharding, substring_dedup, url_filters
+from . import decontaminate, line_dedup, mixing, sharding, substring_dedup, url_filters
 from .common import table
 
 #: The rules that op2 has to know.
@@ -44,6 +44,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), window=8, min_items=2)
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -59,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": op1_substring_dedup,
         "op2_url_filters": op2_url_filters,
         "op5_sharding": op5_sharding,
+        "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
         "op10_mixing": op10_mixing,
     }
