@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, mixing, sharding, substring_dedup, url_filters
+from . import decontaminate, language_id, license_scan, line_dedup, mixing, sharding, substring_dedup, url_filters
 from .common import table
 
 #: The rules that op2 has to know.
@@ -31,6 +31,15 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict", "pattern_rule")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard_records(table(spark, sf_dir, "documents"), shards=16)
     return out.select(
@@ -64,6 +73,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_url_filters": op2_url_filters,
+        "op3_language_id": op3_language_id,
+        "op4_license_scan": op4_license_scan,
         "op5_sharding": op5_sharding,
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
