@@ -83,6 +83,24 @@ SELECT d.doc_id, CAST(len(d.l) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+
+#: Brute force; the search is approximate, and finds all of these at the sizes of the SQL check.
+OP7 = rf"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL AND {_FINITE}
+), n AS (
+  SELECT vec_id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS len FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_reduce(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2]), lambda a, b: a + b) / (c.len * q.len) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 OP9 = rf"""
 WITH lines AS (
   SELECT doc_id, pos, l[pos] AS line,
@@ -150,4 +168,4 @@ OP10 = _op10()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}
+    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op7_vector_search": OP7, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}
