@@ -5,8 +5,10 @@ bound); every vector is then assigned to the list of its nearest centroid. A lis
 into blocks of at most block_rows vectors, and the queries of a list into blocks too, so
 no task grows with a list.
 
-Search. A query scans the `probes` nearest lists, and more until these hold enough
-candidates. Vectors are scaled to length one and turned by a random rotation, so that any
+Search. A query scans its nearest lists: as large a share of all lists as, within the
+sample, held `recall` of the true neighbours of sample queries (measured by brute force
+there), and more until these hold enough candidates. So data without clear clusters get
+more probes. Vectors are scaled to length one and turned by a random rotation, so that any
 few coordinates estimate the whole distance. A list block is read in column blocks: after
 each, a hypothesis test compares the partial distance, scaled up, with the k-th best so
 far, and candidates that are almost surely further are abandoned. Survivors are scored
@@ -75,6 +77,21 @@ def fit_centroids(sample: np.ndarray, lists: int, seed: int, rounds: int = 10) -
     return centres
 
 
+def probe_share(sample: np.ndarray, centres: np.ndarray, k: int, recall: float, seed: int, queries: int = 256) -> float:
+    """The share of lists, nearest first, that holds `recall` of the k nearest of sample queries within the sample."""
+    x = np.unique(_unit(sample), axis=0)
+    if len(x) <= k + 1:
+        return 1.0
+    q = x[np.random.default_rng(seed).permutation(len(x))[:queries]]
+    near = np.concatenate([(part @ centres.T).argmax(axis=1) for part in np.array_split(x, 1 + len(x) // 4096)])
+    best = np.argpartition(-(q @ x.T), k + 1, axis=1)[:, : k + 1]  # the query itself is among them
+    order = np.argsort(-(q @ centres.T), axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(order.shape[1])[None, :], axis=1)
+    needed = np.sort(np.take_along_axis(place, near[best], axis=1), axis=None)[len(q) :]
+    return float((needed[min(len(needed) - 1, int(math.ceil(recall * len(needed))))] + 1) / len(centres))
+
+
 def _smallest_of_equals(ids: np.ndarray, x: np.ndarray, keep: int) -> np.ndarray:
     """Rows to keep: for each distinct vector those of its smallest distinct ids."""
     _, group = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True)
@@ -114,7 +131,7 @@ def nearest(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     lists: int | None = None,
-    probes: int = 48,
+    recall: float = 0.97,
     train_rows: int = 20_000,
     block_rows: int = 8192,
     query_rows: int = 1024,
@@ -132,7 +149,8 @@ def nearest(
     sample = np.array([r.v for r in sample], dtype=np.float64).reshape(-1, width)
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    centres = fit_centroids(sample, lists or min(4096, max(1, round(math.sqrt(n)))), seed)
+    centres = fit_centroids(sample, lists or min(4096, max(1, round(math.sqrt(n) / 2))), seed)
+    probes = math.ceil(probe_share(sample, centres, k, recall, seed) * len(centres))
     turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, width)))[0]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
