@@ -83,6 +83,32 @@ SELECT d.doc_id, CAST(len(d.l) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+OP6 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WS}') AS l FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, l[i] || ' ' || l[i + 1] AS s FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM d WHERE len(l) >= 2)
+  UNION ALL SELECT doc_id, l[1] FROM d WHERE len(l) = 1
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id
+), link AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), both_ways AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(doc_id, other) AS (
+  SELECT a, b FROM both_ways
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), comp AS (
+  SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(c.low, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp c ON c.doc_id = d.doc_id
+"""
+
 _FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
 
 #: Brute force; the search is approximate, and finds all of these at the sizes of the SQL check.
@@ -168,4 +194,4 @@ OP10 = _op10()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op7_vector_search": OP7, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}
+    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op6_near_dedup": OP6, "op7_vector_search": OP7, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}

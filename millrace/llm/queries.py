@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, license_scan, line_dedup, mixing, sharding, substring_dedup, url_filters, vector_search
+from . import decontaminate, language_id, license_scan, line_dedup, mixing, near_dedup, sharding, substring_dedup, url_filters, vector_search
 from .common import table
 
 #: The rules that op2 has to know.
@@ -53,6 +53,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -80,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_license_scan": op4_license_scan,
         "op5_sharding": op5_sharding,
+        "op6_near_dedup": op6_near_dedup,
         "op7_vector_search": op7_vector_search,
         "op8_decontamination": op8_decontamination,
         "op9_line_dedup": op9_line_dedup,
