@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 
 from .common import SPACE_WORD, materialise, without
 
+BROADCAST_SOURCES = 10_000
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 
 
@@ -92,12 +93,14 @@ def mix_sources(
         want = target[r.s] - whole * r.n
         plan.append((r.s, r.n, float(target[r.s]), whole, float(want), float(want / r.nw) if r.nw else 0.0))
     per_source = spark.createDataFrame(plan, "s string, source_n long, target double, whole int, want double, unit double")
-    cuts = _cuts(keys, per_source, plan, bins, few)
+    # Tables of one row for each source: broadcast while they are few, joined like any other beyond that.
+    small = F.broadcast if len(plan) <= BROADCAST_SOURCES else lambda df: df
+    cuts = _cuts(keys, per_source, plan, bins, few, small)
     limits = per_source.join(cuts, per_source.s.eqNullSafe(cuts.cut_s), "left").drop("cut_s")
 
     limits = limits.withColumnsRenamed({c: f"_{c}" for c in limits.columns})
     full = docs.withColumns({"_n": size, "_u": _draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed), "_w": tilt, "_tie": tie})
-    full = full.join(limits, F.col(f"`{source_col}`").eqNullSafe(F.col("_s")), "left")
+    full = full.join(small(limits), F.col(f"`{source_col}`").eqNullSafe(F.col("_s")), "left")
     z = _rank(F.col("_u"), F.least(F.col("_unit") * F.col("_w"), F.lit(1.0)))
     more = (z < F.col("_cut_z")) | ((z == F.col("_cut_z")) & (F.col("_tie") <= F.col("_cut_tie")))
     copies = F.col("_whole") + F.when((F.col("_unit") > 0) & (F.col("_w") > 0) & F.coalesce(more, F.lit(False)), 1).otherwise(0)
@@ -111,11 +114,11 @@ def mix_sources(
     )
 
 
-def _cuts(keys: DataFrame, per_source: DataFrame, plan: list[tuple], bins: int, few: int) -> DataFrame:
+def _cuts(keys: DataFrame, per_source: DataFrame, plan: list[tuple], bins: int, few: int, small) -> DataFrame:
     """(cut_s, cut_z, cut_tie): the last document taken in each source's order; none where none is."""
     spark = keys.sparkSession
     ps = per_source.select(F.col("s").alias("p_s"), "unit").where("unit > 0")
-    ranked = keys.join(ps, keys.s.eqNullSafe(ps.p_s)).where("w > 0").select("s", "n", "tie", _rank(F.col("u"), F.least(F.col("unit") * F.col("w"), F.lit(1.0))).alias("z"))
+    ranked = keys.join(small(ps), keys.s.eqNullSafe(ps.p_s)).where("w > 0").select("s", "n", "tie", _rank(F.col("u"), F.least(F.col("unit") * F.col("w"), F.lit(1.0))).alias("z"))
     # source: [low, width, words wanted from here on, settled]
     state = {s: [0.0, 1.0, want, False] for s, _, _, _, want, unit in plan if unit > 0 and want > 0}
     for _ in range(5):
@@ -123,7 +126,7 @@ def _cuts(keys: DataFrame, per_source: DataFrame, plan: list[tuple], bins: int,
         if not open_:
             break
         part = spark.createDataFrame(open_, "o_s string, lo double, width double")
-        inside = ranked.join(part, ranked.s.eqNullSafe(part.o_s)).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + F.col("width")))
+        inside = ranked.join(small(part), ranked.s.eqNullSafe(part.o_s)).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + F.col("width")))
         b = F.least(F.floor((F.col("z") - F.col("lo")) / F.col("width") * bins), F.lit(bins - 1)).cast("int")
         hist: dict = {}
         for r in inside.groupBy("s", b.alias("b")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():
@@ -143,7 +146,7 @@ def _cuts(keys: DataFrame, per_source: DataFrame, plan: list[tuple], bins: int,
     rows = [(s, lo, width, want) for s, (lo, width, want, _) in state.items()]
     part = spark.createDataFrame(rows, "o_s string, lo double, width double, want double")
     # The crossing bin alone is ordered; one row before it stands for "nothing of this bin".
-    inside = ranked.join(part, ranked.s.eqNullSafe(part.o_s)).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + F.col("width")))
+    inside = ranked.join(small(part), ranked.s.eqNullSafe(part.o_s)).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + F.col("width")))
     none = part.select(F.col("o_s").alias("s"), F.lit(0).cast("long").alias("n"), F.lit("").alias("tie"), F.lit(-math.inf).alias("z"), "lo", "want")
     order = Window.partitionBy("s").orderBy("z", "tie")  # equal rank and id: one step
     ladder = inside.select("s", "n", "tie", "z", "lo", "want").unionByName(none).withColumn("cum", F.sum("n").over(order))
