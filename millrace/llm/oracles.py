@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from .license_scan import PHRASES, TEMPLATES
+
 _WS = r"[^\x20\x09-\x0D]+"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP1 = rf"""
@@ -55,7 +58,6 @@ SELECT p.page_id, p.host, p.path, f.rule,
 FROM pattern p LEFT JOIN fit f ON f.page_id = p.page_id AND f.url = p.url AND f.n = 1
 """
 
-_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 OP8 = rf"""
 WITH d AS (
@@ -83,6 +85,49 @@ SELECT d.doc_id, CAST(len(d.l) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+def _op4(block: int = 400, threshold: float = 0.8) -> str:
+    """Blocks, templates and phrases of license_scan with its defaults."""
+    low = f"translate(coalesce(text, ''), '{_UP}', '{_LOW}')"
+    at = lambda phrase: " AND ".join(f"l[i + {k}] = '{w}'" if k else f"l[i] = '{w}'" for k, w in enumerate(phrase.split()))
+    places = ", ".join(f"list_filter(range(1, len(l) + 1), lambda i: {at(p)}) AS p{n}" for n, (p, _) in enumerate(PHRASES))
+    base = "[" + ", ".join(f"CASE WHEN len(p{n}) > 0 THEN '{label}' END" for n, (_, label) in enumerate(PHRASES)) + "]"
+    every = "p0"
+    for n in range(1, len(PHRASES)):
+        every = f"list_concat({every}, p{n})"
+    rows = []
+    for text, label in TEMPLATES:
+        tokens = list(dict.fromkeys(text.split()))
+        need = next(k for k in range(1, len(tokens) + 1) if k >= threshold * len(tokens) - 1e-9)
+        rows.append(f"('{label}', [{', '.join(map(repr, tokens))}], {need})")
+    return rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({low}, '{_ALNUM}') AS l, string_split_regex({low}, '\n[^0-9A-Za-z\x{{80}}-\x{{10FFFF}}]*\n') AS paragraphs FROM documents
+), phrase AS (
+  SELECT doc_id, l, {places} FROM d
+), based AS (
+  SELECT doc_id, len(l) AS n_words, {every} AS places, list_filter({base}, lambda x: x IS NOT NULL) AS base FROM phrase
+), paragraph AS (
+  SELECT doc_id, regexp_extract_all(p, '{_ALNUM}') AS w FROM (SELECT doc_id, unnest(paragraphs) AS p FROM d)
+), block AS (
+  SELECT doc_id, list_distinct(list_slice(w, s * {block // 2} + 1, s * {block // 2} + {block})) AS b
+  FROM (SELECT doc_id, w, unnest(range(0, CAST(greatest(1, ceil((len(w) - {block}) / {block // 2}.0) + 1) AS BIGINT))) AS s FROM paragraph WHERE len(w) > 0)
+), template(label, tokens, need) AS (
+  VALUES {", ".join(rows)}
+), met AS (
+  SELECT doc_id, label, max(c / CAST(m AS DOUBLE)) AS containment
+  FROM (SELECT doc_id, label, need, len(list_intersect(b, tokens)) AS c, len(tokens) AS m FROM block, template) WHERE c >= need GROUP BY doc_id, label
+), own AS (
+  SELECT doc_id, list(label) AS found, max(containment) AS score FROM met GROUP BY doc_id
+)
+SELECT b.doc_id, CAST(b.n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base,
+       CAST(list_min(places) - 1 AS BIGINT) AS first_word, CAST(list_max(places) - 1 AS BIGINT) AS last_word,
+       array_to_string(list_sort(base), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE coalesce(o.score, 0.0::DOUBLE) END AS score
+FROM based b LEFT JOIN own o ON o.doc_id = b.doc_id
+"""
+
+
 OP6 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WS}') AS l FROM documents
@@ -190,8 +235,9 @@ FROM ladder l JOIN stop a ON l.source IS NOT DISTINCT FROM a.source
 """
 
 
+OP4 = _op4()
 OP10 = _op10()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op6_near_dedup": OP6, "op7_vector_search": OP7, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}
+    return {"op1_substring_dedup": OP1, "op2_url_filters": OP2, "op4_license_scan": OP4, "op6_near_dedup": OP6, "op7_vector_search": OP7, "op8_decontamination": OP8, "op9_line_dedup": OP9, "op10_mixing": OP10}
