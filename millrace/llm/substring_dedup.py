@@ -132,11 +132,12 @@ def _bits(answers: pa.Table, kind: int, values: np.ndarray, buckets: int) -> np.
     return out
 
 
-def dedup_substrings(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int | None = None) -> DataFrame:
     """id, n_words, n_removed, kept_text (kept words joined by a space), spans (removed words, from 0, end exclusive)."""
     _, size = measure(docs, text_col)
-    batches = buckets = pieces(size, batch_bytes)
-    parts = batches
+    # Batches grow from 4 to 32 MB with the corpus, so messages keep their length; partitions hold several in the end.
+    batches = buckets = pieces(size, batch_bytes or min(32 << 20, max(4 << 20, size >> 12)))
+    parts = min(batches, 50_000)
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     dealt = source.withColumn("batch", F.pmod(row_hash("id", F.xxhash64("text")), F.lit(batches)).cast("int")).repartition(parts, "batch")
 
