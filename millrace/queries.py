@@ -59,7 +59,7 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def _dealt(df: DataFrame) -> DataFrame:
     """Over all cores, where a small input comes as fewer splits than there are cores."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _of_text(**columns) -> Query:

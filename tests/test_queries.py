@@ -25,15 +25,19 @@ def duck():
     return con
 
 
-def canonical(df):
-    columns = sorted(df.columns)
-    text = lambda v: "" if v is None or v != v else repr(v) if isinstance(v, float) else str(v)
-    return columns, sorted(tuple(text(v) for v in row) for row in df[columns].astype(object).itertuples(index=False))
+def canonical(rows, columns):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    text = lambda v: "" if v is None else repr(v) if isinstance(v, float) else str(v)
+    return sorted(columns), sorted(tuple(text(row[i]) for i in order) for row in rows)
+
+
+def same(df, cursor):
+    assert canonical(df.collect(), df.columns) == canonical(cursor.fetchall(), [c[0] for c in cursor.description])
 
 
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
-    assert canonical(queries.queries()[name](spark, SF).toPandas()) == canonical(duck.execute(oracles.oracle_sql()[name]).fetchdf())
+    same(queries.queries()[name](spark, SF), duck.execute(oracles.oracle_sql()[name]))
 
 
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(oracles.oracle_sql())))
