@@ -80,8 +80,10 @@ def step_crawl(spark: SparkSession, args: argparse.Namespace, site: SiteProfile,
         log.warning("no shard for this group")
         return 0
     entries = read_sitemap_shards(spark, [str(s) for s in shards])
-    done = ingest.crawl(spark, entries, paths.checkpoint, fetcher, site, args.relevance, args.target, resume=not args.no_resume)
+    done, failed = ingest.crawl(spark, entries, paths.checkpoint, fetcher, site, args.relevance, args.target, resume=not args.no_resume)
     log.info("crawled: %s, %.1f min", ", ".join(f"{n} {k}" for k, n in done.items()), (time.time() - began) / 60)
+    for url in failed:
+        log.warning("failed: %s", url)
     threads = read_checkpoint(spark, paths.checkpoint) if Path(paths.checkpoint).exists() else None
     if threads is not None:
         for df, name in zip(ingest.flatten(threads), ("posts", "replies")):

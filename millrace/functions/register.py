@@ -9,6 +9,8 @@ from . import html, text
 
 
 def register(spark: SparkSession, site: SiteProfile | None = None) -> None:
+    site = site or SiteProfile()
     spark.udf.register("nfc", text.nfc)
-    spark.udf.register("parse_page", html.page_parser(site or SiteProfile()))
+    spark.udf.register("parse_page", html.page_parser(site))
+    spark.udtf.register("page_replies", html.replies_table(site))
     spark.udf.register("article", html.article_reader())

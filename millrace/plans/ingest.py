@@ -125,13 +125,15 @@ def flatten(threads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return posts, replies
 
 
-def crawl(spark: SparkSession, entries: DataFrame, checkpoint: str, fetcher: Fetcher, site: SiteProfile, mode: str = "terms", target: int | None = None, max_pages: int = fixed.MAX_REPLY_PAGES, resume: bool = True, batch: int = 200) -> dict[str, int]:
+def crawl(spark: SparkSession, entries: DataFrame, checkpoint: str, fetcher: Fetcher, site: SiteProfile, mode: str = "terms", target: int | None = None, max_pages: int = fixed.MAX_REPLY_PAGES, resume: bool = True, batch: int = 200, outcome_log: str | None = None) -> tuple[dict[str, int], list[str]]:
     """Fetch what is new in entries (loc, lastmod, shard_file, pos), newest first, and append what is kept.
 
     The target counts threads that are kept, those of earlier runs included, so threads
-    are fetched in batches until it is met. Returns counts by outcome.
+    are fetched in batches until it is met. Returns counts by outcome and the first ten
+    URLs that failed. Outcomes are forgotten, so all but kept threads are fetched again
+    next time, unless outcome_log names a table to append them to.
     """
-    done = dict.fromkeys(OUTCOMES, 0)
+    done, failed = dict.fromkeys(OUTCOMES, 0), []
     have = _load(spark, checkpoint) if resume else None
     seen = have.select("post.url") if have is not None else spark.createDataFrame([], "url string")
     frontier = written(newest_first(new_entries(entries, seen)).select("loc", "lastmod", F.monotonically_increasing_id().alias("at")), "frontier")
@@ -148,9 +150,13 @@ def crawl(spark: SparkSession, entries: DataFrame, checkpoint: str, fetcher: Fet
         counts = dict(posts.groupBy("outcome").count().collect())
         for k in done:
             done[k] += counts.get(k, 0)
+        if len(failed) < 10:
+            failed += [r.url for r in posts.where("outcome = 'failed'").orderBy("at").select("url").limit(10 - len(failed)).collect()]
+        if outcome_log:
+            posts.select("url", "lastmod", "outcome", F.current_timestamp().alias("judged_at")).write.mode("append").parquet(outcome_log)
         if left is not None:
             left -= counts.get("kept", 0)
-    return done
+    return done, failed
 
 
 def _load(spark: SparkSession, checkpoint: str) -> DataFrame | None:

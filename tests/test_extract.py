@@ -86,3 +86,13 @@ def test_page_reading():
 
 def test_html_depth_is_no_problem():
     assert H.parse("<div>" * 5000 + "deep").text() == "deep"
+
+
+def test_sql_names(spark):
+    from millrace.functions.register import register
+
+    register(spark)
+    spark.createDataFrame([(1, PAGE), (2, None)], "id int, html string").createOrReplaceTempView("pages_here")
+    rows = spark.sql("SELECT id, r.* FROM pages_here, LATERAL page_replies(html) r").collect()
+    assert [(r.id, r.pos, r.author_raw, r.content) for r in rows] == [(1, 0, "Bo", "x\n\ny")]
+    assert spark.sql("SELECT nfc('e\u0301') AS x, parse_page(html, 'u').reported AS n FROM pages_here WHERE id = 1").first() == ("é", "3 Replies")

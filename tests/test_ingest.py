@@ -14,6 +14,7 @@ from millrace.plans import clean, ingest, report
 from millrace.sources import tables
 from millrace.streaming import incremental
 
+ENTRY_FIELDS = "loc string, lastmod string, shard_file string, pos long"
 BASE = "https://x.org/g/discussion/"
 
 
@@ -110,6 +111,14 @@ def test_target_counts_kept_threads(spark, tmp_path, site):
     assert all("sitemap" in u for u in site.asked()[before:])
 
 
+def test_outcomes_can_be_kept(spark, tmp_path, site):
+    entries = spark.createDataFrame([(BASE + n, "2024", "s", i) for i, n in enumerate(("dull", "hollow", "gone", "paged"))], ENTRY_FIELDS)
+    log = str(tmp_path / "outcomes")
+    done, failed = ingest.crawl(spark, entries, str(tmp_path / "t.jsonl"), site, SiteProfile(), batch=3, outcome_log=log)
+    assert done == {"kept": 1, "failed": 2, "skipped_irrelevant": 1} and failed == [BASE + "hollow", BASE + "gone"]
+    assert {r.url.rsplit("/", 1)[1]: r.outcome for r in spark.read.parquet(log).collect()} == {"dull": "skipped_irrelevant", "hollow": "failed", "gone": "failed", "paged": "kept"}
+
+
 def test_failures_exit_with_1(spark, tmp_path):
     assert run(spark, tmp_path, Site({}, tmp_path / "asked"), "run") == 1
     assert not (tmp_path / "data/run.lock").exists()
