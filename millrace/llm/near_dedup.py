@@ -6,10 +6,12 @@ on. Its signature is `trees` runs of `depth` min-hash values.
 
 Forest. For each tree all signatures are put in one sorted order, cut by range, so a
 crowded region spreads over tasks and gets deeper prefixes by itself. A document's
-candidates in a tree are the neighbours before it and, for every depth from `base` on, the
-first document of the region that shares that many values with it: few in sparse regions,
-deeper ones where it is crowded, and always a constant number. Regions that go over a
-cut are joined by their first documents.
+candidates in a tree are the neighbours before it and the first document of the region
+that shares as many leading values with it as its neighbour does: a shallow region where
+documents are sparse, a deeper one where they crowd. The first documents of deep regions
+meet those of the shallower ones around them in the same way, down to `base` values, so a
+region hangs together with a constant number of candidates a document. Regions that go
+over a cut are joined by their first documents.
 
 Links. Candidates are confirmed by exact intersection of the full sets. First each
 document meets its most frequent candidate; confirmed links give components; then every
@@ -17,14 +19,22 @@ candidate pair that still lies between two components is confirmed as well. So n
 candidate is dropped, and a group of m near copies costs about m confirmations, not m * m.
 Components come from alternating large-star and small-star steps on tables.
 
+Rest. A document may be linked to just one of a crowded region's many, and neighbours miss
+that one. So regions that still hold several components are gone through. Whoever is
+outside the region's largest component meets that whole component, once however many
+regions they share: its members are dealt into blocks, signatures whose agreement is more
+than four standard deviations below the threshold are passed over, and the others'
+sets are compared in place, the likeliest first, until a link is found; only links leave
+the task. Those outside meet each other by signatures too; where they are more than
+`crowd`, their region is split by one more value, down to the depth of the forest.
+
 A pair at similarity s shares a region in some tree with probability
 1 - (1 - s**base)**trees: 0.999997 at 0.8 with the defaults.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing;
-texts of fewer words than a shingle are one shingle; ids identify documents: rows that
-repeat an id are one document with several texts, which links by any of them; a row
-without id belongs to its class's component and is never kept if there is one. Only the
-two named columns are read.
+texts of fewer words than a shingle are one shingle; rows that repeat an id are judged
+each by its own text; a row without id belongs to the component of its set and is kept
+only if no other document has that set. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -83,6 +93,140 @@ def _sketch(docs: DataFrame, width: int, trees: int, depth: int) -> DataFrame:
     return docs.mapInArrow(sketch, "id long, n long, print binary, sign binary")
 
 
+def least_agreement(values: int, percent: int) -> float:
+    """Fewer equal signature values than this are four standard deviations below the threshold."""
+    p = percent / 100
+    return values * p - 4 * (values * p * (1 - p)) ** 0.5
+
+
+def _regions(labelled: DataFrame, trees: int, depth: int, d: int) -> DataFrame:
+    """(h, up, id, comp): each tree's region of d values, and the one of d - 1 around it."""
+    region = lambda t, k: F.xxhash64(F.lit(t), F.substring("sign", 4 * depth * t + 1, 4 * k))
+    rows = [F.struct(region(t, d).alias("h"), region(t, d - 1).alias("up"), "id", "comp") for t in range(trees)]
+    return labelled.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+def _outsiders(forest: DataFrame) -> DataFrame:
+    """(h, id, comp, main, outside): rows of regions with several components that aren't in the largest one there."""
+    sizes = forest.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("h").agg(F.max_by("comp", F.struct("n", -F.col("comp"))).alias("main"), (F.sum("n") - F.max("n")).alias("outside")).where("outside > 0")
+    return forest.join(main, "h").where("comp <> main")
+
+
+def _blocks_of(labelled: DataFrame, meets: DataFrame, block: int) -> tuple[DataFrame, DataFrame, int]:
+    """Members of the components to be met, and those who meet them, dealt into groups (g) of component and block."""
+    wanted = meets.select("main").distinct()
+    size = labelled.select(F.col("comp").alias("main")).join(wanted, "main", "left_semi").groupBy("main").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    size = materialise(size, "sizes")
+    total = size.agg(F.sum("blocks")).first()[0] or 0
+    groups = pieces(total, 8)
+    cell = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    deal = F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int").alias("g")
+    members = labelled.select("id", F.col("comp").alias("main")).join(size, "main").withColumn("cell", cell).select(deal, "main", "cell", "id")
+    outer = meets.join(size, "main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(deal, "main", "cell", "id")
+    return members, outer, groups
+
+
+def _cells(table: pa.Table, main: str, cell: str) -> dict[tuple[int, int], np.ndarray]:
+    rows: dict[tuple[int, int], list[int]] = {}
+    for i, key in enumerate(zip(table.column(main).to_pylist(), table.column(cell).to_pylist())):
+        rows.setdefault(key, []).append(i)
+    return {k: np.array(v) for k, v in rows.items()}
+
+
+def _signs(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=">u4").astype(np.uint32).reshape(len(column), -1)
+
+
+def _meet_components(labelled: DataFrame, meets: DataFrame, texts: DataFrame, width: int, percent: int, block: int = 4096) -> DataFrame:
+    """Links (a, b) between those outside and the components that they meet: one for each block that has any."""
+    signs = labelled.select("id", "sign")
+    members, outer, groups = _blocks_of(labelled, meets, block)
+
+    def screen(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Who has a partner at all."""
+        out: dict[tuple[int, int, int, bool], None] = {}
+        if left.num_rows and right.num_rows:
+            mine, theirs, cells = _signs(left.column("osign")), _signs(right.column("sign")), _cells(right, "main", "cell")
+            ids, least = right.column("id").to_numpy(), least_agreement(theirs.shape[1], percent)
+            for i, (m, c, x) in enumerate(zip(*(left.column(k).to_pylist() for k in ("omain", "ocell", "oid")))):
+                at = cells.get((m, c), np.zeros(0, np.int64))
+                at = at[(theirs[at] == mine[i]).sum(axis=1) >= least]
+                if len(at):
+                    out[m, c, x, True] = None
+                    out.update(dict.fromkeys((m, c, y, False) for y in ids[at].tolist()))
+        columns = list(zip(*out)) or [(), (), (), ()]
+        return pa.table({"main": pa.array(columns[0], pa.int64()), "cell": pa.array(columns[1], pa.int32()), "id": pa.array(columns[2], pa.int64()), "outer": pa.array(columns[3], pa.bool_())})
+
+    aside = lambda df, *more: df.select(F.col("g").alias("g"), *[F.col(c).alias(f"o{c}") for c in ("main", "cell", "id", "sign", *more)])
+    left = aside(outer.join(signs, "id")).repartition(groups, "g").groupBy("g")
+    right = members.join(signs, "id").repartition(groups, "g").groupBy("g")
+    some = materialise(left.cogroup(right).applyInArrow(screen, "main long, cell int, id long, outer boolean"), "screened")
+    groups = pieces(some.count(), 1000)
+    full = some.join(texts, "id").join(signs, "id").withColumn("g", F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int"))
+
+    def confirm(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            mine, theirs, cells = _signs(left.column("osign")), _signs(right.column("sign")), _cells(right, "main", "cell")
+            ids, least = right.column("id").to_numpy(), least_agreement(theirs.shape[1], percent)
+            sets = list(_sets(right, "text", width))
+            for i, (m, c, x, own) in enumerate(zip(*(left.column(k).to_pylist() for k in ("omain", "ocell", "oid")), _sets(left, "otext", width))):
+                at = cells.get((m, c), np.zeros(0, np.int64))
+                agree = (theirs[at] == mine[i]).sum(axis=1)
+                for j in at[np.argsort(-agree, kind="stable")][: int((agree >= least).sum())].tolist():
+                    if _linked(own, sets[j], percent):
+                        a.append(min(x, int(ids[j])))
+                        b.append(max(x, int(ids[j])))
+                        break
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    left = aside(full.where("outer"), "text").repartition(groups, "g").groupBy("g")
+    right = full.where("NOT outer").select("g", "main", "cell", "id", "sign", "text").repartition(groups, "g").groupBy("g")
+    return left.cogroup(right).applyInArrow(confirm, "a long, b long")
+
+
+def _meet_each_other(outsiders: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of those outside that share a region, are of two components and agree enough."""
+    groups = pieces(outsiders.count(), 5000)
+    signed = outsiders.join(signs, "id").select(F.pmod("h", F.lit(groups)).cast("int").alias("g"), "h", "id", "comp", "sign")
+
+    def meet(rows: pa.Table) -> pa.Table:
+        out: dict[tuple[int, int], None] = {}
+        signs, ids, comp = _signs(rows.column("sign")), rows.column("id").to_numpy(), rows.column("comp").to_numpy()
+        least = least_agreement(signs.shape[1], percent)
+        for at in _cells(rows, "h", "g").values():
+            for k, i in enumerate(at.tolist()):
+                rest = at[k + 1 :][comp[at[k + 1 :]] != comp[i]]
+                for y in ids[rest[(signs[rest] == signs[i]).sum(axis=1) >= least]].tolist():
+                    out[min(int(ids[i]), y), max(int(ids[i]), y)] = None
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    return signed.repartition(groups, "g").groupBy("g").applyInArrow(meet, "a long, b long")
+
+
+def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """(links found against whole components, pairs of outsiders still to be confirmed)."""
+    signs = labelled.select("id", "sign")
+    links, pairs, heavy = None, None, None
+    for d in range(base, depth + 1):
+        forest = _regions(labelled, trees, depth, d)
+        if heavy is not None:
+            forest = forest.join(heavy.select(F.col("h").alias("up")).distinct(), "up", "left_semi")
+        forest = materialise(forest.select("h", "id", "comp"), "regions")
+        outside = materialise(_outsiders(forest), "outside")
+        if links is None:
+            meets = materialise(outside.select("id", "main").distinct(), "meets")
+            links = _meet_components(labelled, meets, texts, width, percent)
+        light = outside if d == depth else outside.where(F.col("outside") <= crowd)
+        more = _meet_each_other(light, signs, percent)
+        pairs = more if pairs is None else pairs.unionByName(more)
+        heavy = outside.where(F.col("outside") > crowd)
+        if d == depth or heavy.isEmpty():
+            return links, pairs.distinct()
+    raise AssertionError
+
+
 def _neighbours(depth: int, base: int, before: int):
     """Candidate pairs from one range of a sorted order of (tree, key, id)."""
 
@@ -122,7 +266,7 @@ def _neighbours(depth: int, base: int, before: int):
                     first = np.where(going, leaders[-1, d], first)
                 lead[:, d] = first
                 new = np.arange(old, len(ids))
-                new = new[(same[new] >= d) & (first[new] != ids[new])]
+                new = new[(same[new] == d) & (first[new] != ids[new])]
                 pairs.append((first[new], ids[new]))
             if opening is None:
                 opening = (tree[0], key[0, :base].tobytes(), lead[0, base])
@@ -194,18 +338,35 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id in links (a, b): root is the smallest id reachable, ids that are roots are left out."""
     stars = materialise(links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).where("x > y").distinct(), "links")
-    mark = None
-    while True:
+    while not stars.join(stars.select(F.col("y").alias("x")).distinct(), "x", "left_semi").isEmpty() or stars.count() > stars.select("x").distinct().count():
         both = stars.unionByName(stars.select(F.col("y").alias("x"), F.col("x").alias("y")))
         low = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         large = both.join(low, "x").where("y > x").select(F.col("y").alias("x"), F.col("m").alias("y")).where("x > y").distinct()
         least = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(least, "x").where("y > m").select(F.col("y").alias("x"), F.col("m").alias("y"))
         stars = materialise(least.select("x", F.col("m").alias("y")).unionByName(small).distinct(), "stars")
-        now = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return stars.select(F.col("x").alias("id"), F.col("y").alias("root"))
-        mark = now
+    return stars.select(F.col("x").alias("id"), F.col("y").alias("root"))
+
+
+def tree_roots(parents: DataFrame) -> DataFrame:
+    """(id, root) of links (a, b) where each b has one a below it: everyone points twice as far until all point at roots."""
+    roots = materialise(parents.select(F.col("b").alias("id"), F.col("a").alias("root")), "roots")
+    while True:
+        up = roots.select(F.col("id").alias("root"), F.col("root").alias("above"))
+        roots = materialise(roots.join(up, "root", "left").select("id", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")), "roots")
+        if roots.where("moved").isEmpty():
+            return roots.select("id", "root")
+        roots = roots.select("id", "root")
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, root) with more links: components of the roots alone, carried over to their members."""
+    across = materialise(_between(links, roots, keep_roots=True), "across")
+    if across.isEmpty():
+        return roots
+    above = components(across)
+    moved = roots.join(above.select(F.col("id").alias("root"), F.col("root").alias("above")), "root", "left").select("id", F.coalesce("above", "root").alias("root"))
+    return materialise(moved.unionByName(above), "roots")
 
 
 def near_duplicates(
@@ -217,7 +378,8 @@ def near_duplicates(
     trees: int = 24,
     depth: int = 6,
     base: int = 4,
-    before: int = 2,
+    before: int = 1,
+    crowd: int = 256,
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links of percent similarity or more) and kept."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -226,18 +388,24 @@ def near_duplicates(
     reps = materialise(classes.select("print", "m.id", "m.sign"), "classes")
     count = reps.count()
     pairs = materialise(_candidates(reps, count, trees, depth, base, before), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    # Whoever shares a region with anyone is in some pair; all later steps stay among these. Always joined by
+    # shuffle: they grow with the corpus.
+    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids").hint("shuffle_hash")
     texts = materialise(source.join(ids, "id", "left_semi"), "texts")
-    _, size = measure(texts, "text")
+    near = reps.select("id", "sign").join(ids, "id", "left_semi")
+    groups = pieces(2 * measure(texts, "text")[1], 4 << 20)
+
+    def confirmed(asked: DataFrame) -> DataFrame:
+        return materialise(_confirm(materialise(asked.select("a", "b"), "asked"), texts, shingle_words, percent, groups), "links")
 
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
-    first = materialise(_confirm(best, texts, shingle_words, percent, pieces(2 * size, 4 << 20)), "links")
-    roots = components(first)
-    far = _between(pairs, roots)
-    met = far.join(best, ["a", "b"], "left_anti")
-    second = materialise(_confirm(met, texts, shingle_words, percent, pieces(2 * size, 4 << 20)), "links")
-    if not second.isEmpty():
-        roots = components(first.unionByName(second))
+    roots = tree_roots(confirmed(best))
+    roots = merged(roots, confirmed(_between(pairs, roots).join(best, ["a", "b"], "left_anti")))
+    labelled = materialise(near.join(roots, "id", "left").select("id", "sign", F.coalesce("root", "id").alias("comp")), "labelled")
+    found, rest = _crowded(labelled, texts, trees, depth, base, percent, shingle_words, crowd)
+    roots = merged(roots, materialise(found, "links"))
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
+    roots = merged(roots, confirmed(_between(rest, roots)))
 
     labels = reps.select("print", "id").join(roots, "id", "left").select("print", F.coalesce("root", "id").alias("root"))
     found = sketches.select("id", "n", "print").join(labels, "print", "left")
@@ -246,8 +414,9 @@ def near_duplicates(
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs whose ends lie in different components."""
+def _between(pairs: DataFrame, roots: DataFrame, keep_roots: bool = False) -> DataFrame:
+    """Pairs whose ends lie in different components; as those components if keep_roots."""
     end = lambda side: roots.select(F.col("id").alias(side), F.col("root").alias(f"root_{side}"))
     joined = pairs.join(end("a"), "a", "left").join(end("b"), "b", "left")
-    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    ends = joined.select("a", "b", F.coalesce("root_a", "a").alias("x"), F.coalesce("root_b", "b").alias("y")).where("x <> y")
+    return ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct() if keep_roots else ends.select("a", "b")
