@@ -56,12 +56,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def cosines(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Cosines in double precision, each sum taken coordinate by coordinate, so equal vectors score equally."""
-    dot, xx, qq = np.zeros(len(x)), np.zeros(len(x)), 0.0
-    for d in range(x.shape[1]):
-        dot += x[:, d] * q[d]
-        xx += x[:, d] * x[:, d]
-        qq += q[d] * q[d]
-    return dot / (np.sqrt(xx) * math.sqrt(qq))
+    total = lambda products: np.cumsum(products, axis=1)[:, -1]
+    return total(x * q) / (np.sqrt(total(x * x)) * math.sqrt(total((q * q)[None, :])[0]))
 
 
 def fit_centroids(sample: np.ndarray, lists: int, seed: int, rounds: int = 10) -> np.ndarray:
