@@ -114,17 +114,22 @@ def _outsiders(forest: DataFrame) -> DataFrame:
 
 
 def _blocks_of(labelled: DataFrame, meets: DataFrame, block: int) -> tuple[DataFrame, DataFrame, int]:
-    """Members of the components to be met, and those who meet them, dealt into groups (g) of component and block."""
-    wanted = meets.select("main").distinct()
-    size = labelled.select(F.col("comp").alias("main")).join(wanted, "main", "left_semi").groupBy("main").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    """Members of the components to be met, and those who meet them, dealt into groups (g) of many cells.
+
+    A cell is a block of a component's members with a block of those who meet it.
+    """
+    guests = meets.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    size = labelled.select(F.col("comp").alias("main")).join(guests, "main").groupBy("main", "parts").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
     size = materialise(size, "sizes")
-    total = size.agg(F.sum("blocks")).first()[0] or 0
-    groups = pieces(total, 8)
-    cell = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    groups = pieces((size.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0) + meets.count(), 10_000)
     deal = F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int").alias("g")
-    members = labelled.select("id", F.col("comp").alias("main")).join(size, "main").withColumn("cell", cell).select(deal, "main", "cell", "id")
-    outer = meets.join(size, "main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(deal, "main", "cell", "id")
-    return members, outer, groups
+    share = lambda over: F.pmod(F.xxhash64("id"), F.col(over)).cast("int")
+    every = lambda over: F.explode(F.sequence(F.lit(0), F.col(over) - 1))
+    cell = F.col("row") * F.col("parts") + F.col("part")
+    members = labelled.select("id", F.col("comp").alias("main")).join(size, "main").withColumn("row", share("blocks")).withColumn("part", every("parts"))
+    outer = meets.join(size, "main").withColumn("part", share("parts")).withColumn("row", every("blocks"))
+    dealt = lambda df: df.withColumn("cell", cell).select(deal, "main", "cell", "id")
+    return dealt(members), dealt(outer), groups
 
 
 def _cells(table: pa.Table, main: str, cell: str) -> dict[tuple[int, int], np.ndarray]:
@@ -188,7 +193,7 @@ def _meet_components(labelled: DataFrame, meets: DataFrame, texts: DataFrame, wi
 
 def _meet_each_other(outsiders: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of those outside that share a region, are of two components and agree enough."""
-    groups = pieces(outsiders.count(), 5000)
+    groups = pieces(outsiders.count(), 500)
     signed = outsiders.join(signs, "id").select(F.pmod("h", F.lit(groups)).cast("int").alias("g"), "h", "id", "comp", "sign")
 
     def meet(rows: pa.Table) -> pa.Table:
