@@ -56,10 +56,14 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return _dealt(docs).withColumn("content", F.expr(dirty_sql("spark")))
 
 
+SMALL_BYTES = 32 << 20
+
+
 def _dealt(df: DataFrame) -> DataFrame:
-    """Over all cores, where a small input comes as fewer splits than there are cores."""
+    """A small input dealt over all cores: a file with one row group is one busy task otherwise. A large one as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * SMALL_BYTES else df
 
 
 def _of_text(**columns) -> Query:
