@@ -20,7 +20,6 @@ named like an output are replaced.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -34,7 +33,7 @@ from pyspark.sql import types as T
 from .common import without
 from .words import ALNUM, U64, Words, cover, mix, spans
 
-OUTPUTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "matches")
+OUTPUTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "matches", "items")
 _MATCH = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64())]))
 _FIELDS = "n_words long, n_hit long, items array<string>, longest_match long, matches array<struct<first_word:long,end_word:long>>"
 
@@ -155,13 +154,11 @@ def find_contamination(
 ) -> DataFrame:
     """docs with n_words, n_hit, n_items, items_sha256, contaminated, longest_match (in words) and matches (word spans)."""
     docs = without(docs, *OUTPUTS)
-    blocks = list(_blocks(benchmark, item_col, item_text_col, block_bytes))
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(_FIELDS).fields])
     texts = docs.columns.index(text_col)
 
     def scanner(block):
-        ids, rows = block
-        held = docs.sparkSession.sparkContext.broadcast((ids, rows))
+        held = docs.sparkSession.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = TestSet(held.value[0], pa.array(held.value[1], pa.string()), window, min_item_words)
@@ -177,7 +174,8 @@ def find_contamination(
 
         return scan
 
-    passes = [docs.mapInArrow(scanner(b), schema) for b in blocks]
+    # One block at a time is in the driver's memory.
+    passes = [docs.mapInArrow(scanner(b), schema) for b in _blocks(benchmark, item_col, item_text_col, block_bytes)]
     found = passes[0] if len(passes) == 1 else _merge(docs, passes, schema)
     items = F.array_join(F.array_sort("items"), ",")
     rest = [F.col(f"`{c}`") for c in docs.columns]
@@ -242,7 +240,3 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """docs without the contaminated ones, with the columns of docs."""
     return find_contamination(docs, benchmark, **options).where("NOT contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
 
-
-def digest(ids: list[str]) -> str:
-    """The digest of a set of item ids, for tests."""
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()

@@ -53,14 +53,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         seen.join(common, "h")
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("id")
-        .agg(F.collect_list("h").alias("_drop"))
-        .withColumnRenamed("id", "_id")
+        .agg(F.collect_list("h").alias("__drop"))
+        .withColumnRenamed("id", "__id")
     )
     rest = [c for c in docs.columns if c.lower() not in OUTPUTS]
-    joined = docs.join(drops, ident.eqNullSafe(F.col("_id")), "left")
-    stays = lambda pair: ~F.coalesce(F.array_contains(F.col("_drop"), pair["h"]), F.lit(False))
+    joined = docs.join(drops, ident.eqNullSafe(F.col("__id")), "left")
+    stays = lambda pair: ~F.coalesce(F.array_contains(F.col("__drop"), pair["h"]), F.lit(False))
     kept = F.filter(F.arrays_zip(lines.alias("line"), hashes.alias("h")), stays)["line"]
     return (
-        joined.withColumns({"_n": F.size(lines).cast("long"), "_kept": F.when(F.col("_drop").isNull(), lines).otherwise(kept)})
-        .select(*[F.col(f"`{c}`") for c in rest], F.col("_n").alias("n_lines"), (F.col("_n") - F.size("_kept")).alias("n_dropped"), F.array_join("_kept", "\n").alias("kept_text"))
+        joined.withColumns({"__n": F.size(lines).cast("long"), "__kept": F.when(F.col("__drop").isNull(), lines).otherwise(kept)})
+        .select(*[F.col(f"`{c}`") for c in rest], F.col("__n").alias("n_lines"), (F.col("__n") - F.size("__kept")).alias("n_dropped"), F.array_join("__kept", "\n").alias("kept_text"))
     )

@@ -98,19 +98,19 @@ def mix_sources(
     cuts = _cuts(keys, per_source, plan, bins, few, small)
     limits = per_source.join(cuts, per_source.s.eqNullSafe(cuts.cut_s), "left").drop("cut_s")
 
-    limits = limits.withColumnsRenamed({c: f"_{c}" for c in limits.columns})
-    full = docs.withColumns({"_n": size, "_u": _draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed), "_w": tilt, "_tie": tie})
-    full = full.join(small(limits), F.col(f"`{source_col}`").eqNullSafe(F.col("_s")), "left")
-    z = _rank(F.col("_u"), F.least(F.col("_unit") * F.col("_w"), F.lit(1.0)))
-    more = (z < F.col("_cut_z")) | ((z == F.col("_cut_z")) & (F.col("_tie") <= F.col("_cut_tie")))
-    copies = F.col("_whole") + F.when((F.col("_unit") > 0) & (F.col("_w") > 0) & F.coalesce(more, F.lit(False)), 1).otherwise(0)
+    limits = limits.withColumnsRenamed({c: f"__{c}" for c in limits.columns})
+    full = docs.withColumns({"__n": size, "__u": _draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed), "__w": tilt, "__tie": tie})
+    full = full.join(small(limits), F.col(f"`{source_col}`").eqNullSafe(F.col("__s")), "left")
+    z = _rank(F.col("__u"), F.least(F.col("__unit") * F.col("__w"), F.lit(1.0)))
+    more = (z < F.col("__cut_z")) | ((z == F.col("__cut_z")) & (F.col("__tie") <= F.col("__cut_tie")))
+    copies = F.col("__whole") + F.when((F.col("__unit") > 0) & (F.col("__w") > 0) & F.coalesce(more, F.lit(False)), 1).otherwise(0)
     return full.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("_n").alias("size"),
-        F.col("_source_n").alias("source_size"),
-        F.col("_target").alias("target"),
+        F.col("__n").alias("size"),
+        F.col("__source_n").alias("source_size"),
+        F.col("__target").alias("target"),
         copies.alias("copies"),
-        (copies * F.col("_n")).cast("long").alias("taken"),
+        (copies * F.col("__n")).cast("long").alias("taken"),
     )
 
 
@@ -161,4 +161,4 @@ def _cuts(keys: DataFrame, per_source: DataFrame, plan: list[tuple], bins: int,
 
 def expand_copies(mixed: DataFrame) -> DataFrame:
     """One row for each copy taken."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_copy")
+    return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("__copy")

@@ -31,24 +31,24 @@ def shard_records(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str
     rows, size = measure(docs, text_col)
     buckets = pieces(size + 64 * rows, bucket_bytes)
     spread = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
-    dealt = docs.withColumns({"_spread": spread, "_bucket": F.pmod(F.shiftright(F.col("_spread"), 16), F.lit(buckets)).cast("int")})
+    dealt = docs.withColumns({"__spread": spread, "__bucket": F.pmod(F.shiftright(F.col("__spread"), 16), F.lit(buckets)).cast("int")})
     # Few numbers: one per bucket. Where a bucket starts in the whole order.
-    counts = dict(dealt.groupBy("_bucket").count().collect())
+    counts = dict(dealt.groupBy("__bucket").count().collect())
     starts, at = {}, 0
     for b in range(buckets):
         starts[b] = at
         at += counts.get(b, 0)
 
     def shuffle(bucket: pa.Table) -> pa.Table:
-        b = bucket.column("_bucket")[0].as_py()
-        order = pc.sort_indices(bucket, sort_keys=[("_spread", "ascending")]).to_numpy().copy()
+        b = bucket.column("__bucket")[0].as_py()
+        order = pc.sort_indices(bucket, sort_keys=[("__spread", "ascending")]).to_numpy().copy()
         np.random.default_rng([seed, b]).shuffle(order)
         place = starts[b] + np.arange(len(order), dtype=np.int64)
-        out = bucket.take(pa.array(order)).drop_columns(["_spread", "_bucket"])
+        out = bucket.take(pa.array(order)).drop_columns(["__spread", "__bucket"])
         return out.append_column("shard", pa.array((place % shards).astype(np.int32))).append_column("slot", pa.array(place // shards))
 
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return dealt.repartition(buckets, "_bucket").groupBy("_bucket").applyInArrow(shuffle, schema)
+    return dealt.repartition(buckets, "__bucket").groupBy("__bucket").applyInArrow(shuffle, schema)
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
