@@ -30,6 +30,17 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Send texts to Python in Arrow batches of at most 8 MB, so that long texts don't add up in executors' memory.
+
+    A session setting, which stays: plans read it when they start.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def measure(df: DataFrame, text_col: str) -> tuple[int, int]:
     """(rows, UTF-8 bytes of the texts), in one pass that keeps one row per task."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_col)).alias("b")).first()

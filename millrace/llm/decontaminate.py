@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import bounded_batches, without
 from .words import ALNUM, U64, Words, cover, mix, spans
 
 OUTPUTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "matches", "items")
@@ -153,6 +153,7 @@ def find_contamination(
     block_bytes: int = 8 << 20,
 ) -> DataFrame:
     """docs with n_words, n_hit, n_items, items_sha256, contaminated, longest_match (in words) and matches (word spans)."""
+    bounded_batches(docs.sparkSession)
     docs = without(docs, *OUTPUTS)
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(_FIELDS).fields])
     texts = docs.columns.index(text_col)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import bounded_batches, without
 from .words import U64, mix
 
 OUTPUTS = ("lang_pred", "score")
@@ -76,6 +76,7 @@ def _features(points: np.ndarray, starts: np.ndarray, orders: tuple[int, ...], f
 
 def train(labelled: DataFrame, orders: tuple[int, ...] = (2, 3), features: int = 1 << 16, max_rows_per_language: int = 4000, max_languages: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", alpha: float = 0.1) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log priors, log-probabilities as features x languages)."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l")).where("l is not null and t is not null")
     totals = dict(rows.groupBy("l").count().limit(max_languages + 1).collect())
     if len(totals) > max_languages:
@@ -119,6 +120,7 @@ def _by_language(counted: DataFrame) -> list:
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], orders: tuple[int, ...] = (2, 3), text_col: str = "text") -> DataFrame:
     """docs with lang_pred and score, the posterior probability of the language."""
+    bounded_batches(docs.sparkSession)
     docs = without(docs, *OUTPUTS)
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import without
+from .common import bounded_batches, without
 from .decontaminate import _among, _portions
 from .words import ALNUM, Words
 
@@ -149,6 +149,7 @@ def scan_licenses(
 
     score: 1 with a base phrase, else the largest containment of a template that is met, else 0.
     """
+    bounded_batches(docs.sparkSession)
     docs = without(docs, *[f.name for f in T._parse_datatype_string(_OUT).fields])
     known = _Templates(templates, {}, threshold).known
     if len(known) > max_tokens:

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, measure, pieces
+from .common import bounded_batches, materialise, measure, pieces
 from .decontaminate import _portions
 from .words import SPACED, U64, Words, mix, windows
 
@@ -387,6 +387,7 @@ def near_duplicates(
     crowd: int = 256,
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links of percent similarity or more) and kept."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     sketches = materialise(_sketch(source, shingle_words, trees, depth), "sketch")
     classes = sketches.where("n > 0 and id is not null").groupBy("print").agg(F.min(F.struct("id", "sign")).alias("m"))

@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import measure, pieces, without
+from .common import bounded_batches, measure, pieces, without
 
 OUTPUTS = ("shard", "slot")
 
 
 def shard_records(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20) -> DataFrame:
     """docs in one random order, each with its shard (int, from 0) and slot in it (long, gapless from 0)."""
+    bounded_batches(docs.sparkSession)
     docs = without(docs, *OUTPUTS)
     rows, size = measure(docs, text_col)
     buckets = pieces(size + 64 * rows, bucket_bytes)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import measure, pieces, row_hash
+from .common import bounded_batches, measure, pieces, row_hash
 from .words import SPACED, Words, cover, spans, windows
 
 _MESSAGE = "bucket int, batch int, kind int, hashes binary, flags binary"
@@ -134,6 +134,7 @@ def _bits(answers: pa.Table, kind: int, values: np.ndarray, buckets: int) -> np.
 
 def dedup_substrings(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int | None = None) -> DataFrame:
     """id, n_words, n_removed, kept_text (kept words joined by a space), spans (removed words, from 0, end exclusive)."""
+    bounded_batches(docs.sparkSession)
     _, size = measure(docs, text_col)
     # Batches grow from 4 to 32 MB with the corpus, so messages keep their length; partitions hold several in the end.
     batches = buckets = pieces(size, batch_bytes or min(32 << 20, max(4 << 20, size >> 12)))
