@@ -223,3 +223,15 @@ def test_research_subsets(spark):
     got = {k: v.count() for k, v in enrich.research_subsets(r).items()}
     assert got == {"non_staff": 2, "non_staff_non_op": 1, "recent": 1}
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def fake_fetch(url):
+    return (200, f"<p>{url}</p>") if "gone" not in url else (404, None)
+
+
+def test_pages_as_a_data_source(spark):
+    from millrace.sources.fetch import PageSource
+
+    spark.dataSource.register(PageSource)
+    df = spark.read.format("pages").option("urls", json.dumps(["u/a", "u/gone"])).option("fetcher", "test_ingest:fake_fetch").load()
+    assert sorted(map(tuple, df.collect())) == [("u/a", 1, 200, "<p>u/a</p>"), ("u/gone", 1, 404, None)]
