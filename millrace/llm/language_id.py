@@ -84,7 +84,7 @@ def train(labelled: DataFrame, orders: tuple[int, ...] = (2, 3), features: int =
     if not totals:
         return [], np.zeros(0), np.zeros((features, 0), np.float32)
     share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, max_rows_per_language / n))])
-    draw = F.pmod(F.xxhash64(F.lit("train"), "i"), F.lit(1_000_003)) / 1_000_003
+    draw = F.pmod(F.xxhash64(F.lit("train"), "i", "t"), F.lit(1_000_003)) / 1_000_003  # ids can be missing or repeated
     sample = rows.where(draw < F.element_at(share, F.col("l"))).select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
