@@ -51,6 +51,14 @@ def pieces(total: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(total / each))
 
 
+MOST_PARTITIONS = 50_000
+
+
+def partitions(groups: int) -> int:
+    """As many partitions as groups, up to a number that the driver can schedule; then each takes several groups."""
+    return min(groups, MOST_PARTITIONS)
+
+
 def row_hash(*cols: str | Column) -> Column:
     """A hash that spreads rows even where an id is null or repeated."""
     return F.xxhash64(*cols)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, measure, pieces
+from .common import bounded_batches, materialise, measure, partitions, pieces
 from .decontaminate import _portions
 from .words import SPACED, U64, Words, mix, windows
 
@@ -164,8 +164,8 @@ def _meet_components(labelled: DataFrame, meets: DataFrame, texts: DataFrame, wi
         return pa.table({"main": pa.array(columns[0], pa.int64()), "cell": pa.array(columns[1], pa.int32()), "id": pa.array(columns[2], pa.int64()), "outer": pa.array(columns[3], pa.bool_())})
 
     aside = lambda df, *more: df.select(F.col("g").alias("g"), *[F.col(c).alias(f"o{c}") for c in ("main", "cell", "id", "sign", *more)])
-    left = aside(outer.join(signs, "id")).repartition(groups, "g").groupBy("g")
-    right = members.join(signs, "id").repartition(groups, "g").groupBy("g")
+    left = aside(outer.join(signs, "id")).repartition(partitions(groups), "g").groupBy("g")
+    right = members.join(signs, "id").repartition(partitions(groups), "g").groupBy("g")
     some = materialise(left.cogroup(right).applyInArrow(screen, "main long, cell int, id long, outer boolean"), "screened")
     groups = pieces(some.count(), 1000)
     full = some.join(texts, "id").join(signs, "id").withColumn("g", F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int"))
@@ -186,8 +186,8 @@ def _meet_components(labelled: DataFrame, meets: DataFrame, texts: DataFrame, wi
                         break
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    left = aside(full.where("outer"), "text").repartition(groups, "g").groupBy("g")
-    right = full.where("NOT outer").select("g", "main", "cell", "id", "sign", "text").repartition(groups, "g").groupBy("g")
+    left = aside(full.where("outer"), "text").repartition(partitions(groups), "g").groupBy("g")
+    right = full.where("NOT outer").select("g", "main", "cell", "id", "sign", "text").repartition(partitions(groups), "g").groupBy("g")
     return left.cogroup(right).applyInArrow(confirm, "a long, b long")
 
 
@@ -207,7 +207,7 @@ def _meet_each_other(outsiders: DataFrame, signs: DataFrame, percent: int) -> Da
                     out[min(int(ids[i]), y), max(int(ids[i]), y)] = None
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
-    return signed.repartition(groups, "g").groupBy("g").applyInArrow(meet, "a long, b long")
+    return signed.repartition(partitions(groups), "g").groupBy("g").applyInArrow(meet, "a long, b long")
 
 
 def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, crowd: int) -> tuple[DataFrame, DataFrame]:
@@ -292,7 +292,7 @@ def _candidates(reps: DataFrame, rows: int, trees: int, depth: int, base: int, b
     """a < b, with the number of times that the forest proposes the pair."""
     width = 4 * depth
     keys = reps.select(F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("sign", t * width + 1, width).alias("key"), "id") for t in range(trees)])).alias("x")).select("x.*")
-    cuts = pieces(rows * trees, 200_000)
+    cuts = partitions(pieces(rows * trees, 200_000))
     ordered = keys.repartitionByRange(cuts, "tree", "key", "id").sortWithinPartitions("tree", "key", "id")
     found = materialise(ordered.mapInArrow(_neighbours(depth, base, before), _PAIR), "forest")
     edges = found.where("edge is not null").select("edge", F.col("a").alias("id")).distinct()
@@ -323,7 +323,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, group
                 b.append(y)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    left, right = partners.repartition(groups, "g"), served.repartition(groups, "g")
+    left, right = partners.repartition(partitions(groups), "g"), served.repartition(partitions(groups), "g")
     return left.groupBy("g").cogroup(right.groupBy("g")).applyInArrow(check, "a long, b long")
 
 

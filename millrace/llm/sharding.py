@@ -1,7 +1,7 @@
 """Sharding by a two-pass external shuffle.
 
 Pass one scatters whole records uniformly, by a seeded hash, into as many buckets as
-keep each one within bucket_bytes. Pass two sorts a bucket by hash (so that a rerun
+keep each one within a bounded size. Pass two sorts a bucket by hash (so that a rerun
 starts from the same order) and shuffles it with Fisher-Yates from a seed of its own.
 Buckets laid end to end are one random order of all records; record number i of that
 order goes to slot i // shards of shard i % shards, so counts differ by one at most.
@@ -20,25 +20,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, measure, pieces, without
+from .common import bounded_batches, measure, partitions, pieces, without
 
 OUTPUTS = ("shard", "slot")
 
 
-def shard_records(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20) -> DataFrame:
+def shard_records(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int | None = None) -> DataFrame:
     """docs in one random order, each with its shard (int, from 0) and slot in it (long, gapless from 0)."""
     bounded_batches(docs.sparkSession)
     docs = without(docs, *OUTPUTS)
     rows, size = measure(docs, text_col)
-    buckets = pieces(size + 64 * rows, bucket_bytes)
+    # Buckets grow from 8 to 128 MB with the corpus, so that there are never many of them.
+    buckets = pieces(size + 64 * rows, bucket_bytes or min(128 << 20, max(8 << 20, size >> 14)))
     spread = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in docs.columns])
     dealt = docs.withColumns({"__spread": spread, "__bucket": F.pmod(F.shiftright(F.col("__spread"), 16), F.lit(buckets)).cast("int")})
-    # Few numbers: one per bucket. Where a bucket starts in the whole order.
-    counts = dict(dealt.groupBy("__bucket").count().collect())
-    starts, at = {}, 0
-    for b in range(buckets):
-        starts[b] = at
-        at += counts.get(b, 0)
+    # One number for each bucket: where it starts in the whole order.
+    counts = np.zeros(buckets + 1, dtype=np.int64)
+    for b, n in dealt.groupBy("__bucket").count().collect():
+        counts[b + 1] = n
+    starts = np.cumsum(counts)
 
     def shuffle(bucket: pa.Table) -> pa.Table:
         b = bucket.column("__bucket")[0].as_py()
@@ -49,7 +49,7 @@ def shard_records(docs: DataFrame, shards: int = 16, seed: int = 7, id_col: str
         return out.append_column("shard", pa.array((place % shards).astype(np.int32))).append_column("slot", pa.array(place // shards))
 
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return dealt.repartition(buckets, "__bucket").groupBy("__bucket").applyInArrow(shuffle, schema)
+    return dealt.repartition(partitions(buckets), "__bucket").groupBy("__bucket").applyInArrow(shuffle, schema)
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, measure, pieces, row_hash
+from .common import bounded_batches, measure, partitions, pieces, row_hash
 from .words import SPACED, Words, cover, spans, windows
 
 _MESSAGE = "bucket int, batch int, kind int, hashes binary, flags binary"
@@ -138,7 +138,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     _, size = measure(docs, text_col)
     # Batches grow from 4 to 32 MB with the corpus, so messages keep their length; partitions hold several in the end.
     batches = buckets = pieces(size, batch_bytes or min(32 << 20, max(4 << 20, size >> 12)))
-    parts = min(batches, 50_000)
+    parts = partitions(batches)
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     dealt = source.withColumn("batch", F.pmod(row_hash("id", F.xxhash64("text")), F.lit(batches)).cast("int")).repartition(parts, "batch")
 
