@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 5)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17
 
 
 def _inverse(odd: int) -> int:
