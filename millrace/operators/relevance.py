@@ -25,6 +25,6 @@ def relevant(mode: str, title: Column, content: Column, topic_slug: Column, topi
 
 
 def with_relevance(posts: DataFrame, mode: str = "terms", title: str = "title", content: str = "content", topic_slug: str = "topic_slug", **lists) -> DataFrame:
-    """posts with _keep and relevance_hits. Text is dealt out first: one big file is otherwise one task."""
+    """posts with _keep and relevance_hits. Write the result before filtering by _keep: hits are then computed once."""
     keep, hits = relevant(mode, F.col(title), F.col(content), F.col(topic_slug), **lists)
     return posts.withColumns({"relevance_hits": hits, "_keep": keep})

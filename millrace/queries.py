@@ -17,7 +17,7 @@ from .functions import html as H
 from .functions import text as X
 from .operators import enrich, frontier, relevance
 from .plans import clean, report
-from .sources.scratch import folder
+from .sources.scratch import folder, written
 from .sources.tables import first_by
 from .streaming import incremental
 
@@ -76,7 +76,8 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.links_of(_cleaned(spark, sf_dir), "doc_id", "post")
+    # Written first: a filter on what an explode or a predicate needs would otherwise repeat the whole chain below it.
+    return clean.links_of(written(_cleaned(spark, sf_dir).select("doc_id", "_links"), "links"), "doc_id", "post")
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -92,7 +93,7 @@ def q_clean_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_email_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = report.email_domain_counts(_cleaned(spark, sf_dir))
+    counts = report.email_domain_counts(written(_cleaned(spark, sf_dir).select("_email_domains"), "domains"))
     return counts.withColumn("personal", F.col("domain").isin(*fixed.PERSONAL_MAIL))
 
 
@@ -100,7 +101,7 @@ def _relevance(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = _dealt(_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
         judged = relevance.with_relevance(docs, mode, title="lang", content="text", topic_slug="source", **({} if mode == "off" else {"topics": ("src3", "src7")}))
-        return judged.where("_keep").select("doc_id", "relevance_hits")
+        return written(judged.select("doc_id", "relevance_hits", "_keep"), "judged").where("_keep").select("doc_id", "relevance_hits")
 
     return run
 
