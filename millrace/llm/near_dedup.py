@@ -213,16 +213,18 @@ def _meet_each_other(outsiders: DataFrame, signs: DataFrame, percent: int) -> Da
 def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, crowd: int) -> tuple[DataFrame, DataFrame]:
     """(links found against whole components, pairs of outsiders still to be confirmed)."""
     signs = labelled.select("id", "sign")
-    links, pairs, heavy = None, None, None
+    links, pairs, heavy, met = None, None, None, None
     for d in range(base, depth + 1):
         forest = _regions(labelled, trees, depth, d)
         if heavy is not None:
             forest = forest.join(heavy.select(F.col("h").alias("up")).distinct(), "up", "left_semi")
         forest = materialise(forest.select("h", "id", "comp"), "regions")
         outside = materialise(_outsiders(forest), "outside")
-        if links is None:
-            meets = materialise(outside.select("id", "main").distinct(), "meets")
-            links = _meet_components(labelled, meets, texts, width, percent)
+        meets = outside.select("id", "main").distinct()
+        meets = materialise(meets if met is None else meets.join(met, ["id", "main"], "left_anti"), "meets")
+        met = meets if met is None else met.unionByName(meets)
+        found = _meet_components(labelled, meets, texts, width, percent)
+        links = found if links is None else links.unionByName(found)
         light = outside if d == depth else outside.where(F.col("outside") <= crowd)
         more = _meet_each_other(light, signs, percent)
         pairs = more if pairs is None else pairs.unionByName(more)

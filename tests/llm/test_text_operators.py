@@ -189,6 +189,19 @@ def test_near_duplicates_odd_input(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).count() == 0
 
 
+def crowded(spark, rows, crowd, **options):
+    """Links and candidates of rows (id, component, text, values of one tree), of regions of one value or more."""
+    signed = [(i, np.array(values, dtype=">u4").tobytes(), comp) for i, comp, _, values in rows]
+    labelled, texts = frame(spark, signed, "id long, sign binary, comp long"), frame(spark, [(i, t) for i, _, t, _ in rows], "id long, text string")
+    found = near_dedup._crowded(labelled, texts, 1, len(rows[0][3]), 1, 80, 1, crowd, **options)
+    return {(r.a, r.b) for part in found for r in part.collect()}
+
+
+def test_outsiders_meet_the_largest_component_of_a_deeper_region(spark):
+    rows = [(i, 1, f"main {i}", (1, 10)) for i in (1, 2, 3)] + [(4, 4, "a b c d", (1, 20)), (5, 4, "a b c d e", (1, 20)), (6, 6, "b c d e", (1, 20))]
+    assert (5, 6) in crowded(spark, rows, crowd=0)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(1, 300).select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
     got = near_dedup.components(links.unionByName(spark.createDataFrame([(1000, 999)], "a long, b long"))).collect()
