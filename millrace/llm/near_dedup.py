@@ -22,11 +22,13 @@ Components come from alternating large-star and small-star steps on tables.
 Rest. A document may be linked to just one of a crowded region's many, and neighbours miss
 that one. So regions that still hold several components are gone through. Whoever is
 outside the region's largest component meets that whole component, once however many
-regions they share: its members are dealt into blocks, signatures whose agreement is more
-than four standard deviations below the threshold are passed over, and the others'
-sets are compared in place, the likeliest first, until a link is found; only links leave
-the task. Those outside meet each other by signatures too; where they are more than
-`crowd`, their region is split by one more value, down to the depth of the forest.
+regions they share: its members are dealt into blocks of `block`, signatures whose
+agreement is more than four standard deviations below the threshold are passed over, and
+the others' sets are compared in place, the likeliest first, until their components are
+joined; only links leave the task. Those outside meet each other by signatures too: up to
+`crowd` of a region as pairs that are confirmed later, more than that block by block and
+in place as well. So all that share `base` values are compared whatever a region's size,
+in bounded tasks, whose number grows with the square of those outside.
 
 A pair at similarity s shares a region in some tree with probability
 1 - (1 - s**base)**trees: 0.999997 at 0.8 with the defaults.
@@ -100,9 +102,8 @@ def least_agreement(values: int, percent: int) -> float:
 
 
 def _regions(labelled: DataFrame, trees: int, depth: int, d: int) -> DataFrame:
-    """(h, up, id, comp): each tree's region of d values, and the one of d - 1 around it."""
-    region = lambda t, k: F.xxhash64(F.lit(t), F.substring("sign", 4 * depth * t + 1, 4 * k))
-    rows = [F.struct(region(t, d).alias("h"), region(t, d - 1).alias("up"), "id", "comp") for t in range(trees)]
+    """(h, id, comp): each tree's region of d values."""
+    rows = [F.struct(F.xxhash64(F.lit(t), F.substring("sign", 4 * depth * t + 1, 4 * d)).alias("h"), "id", "comp") for t in range(trees)]
     return labelled.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
@@ -113,23 +114,25 @@ def _outsiders(forest: DataFrame) -> DataFrame:
     return forest.join(main, "h").where("comp <> main")
 
 
-def _blocks_of(labelled: DataFrame, meets: DataFrame, block: int) -> tuple[DataFrame, DataFrame, int]:
-    """Members of the components to be met, and those who meet them, dealt into groups (g) of many cells.
+def _blocks_of(members: DataFrame, meets: DataFrame, block: int, mutual: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Members of what is to be met (main), and those who meet it, dealt into groups (g) of many cells.
 
-    A cell is a block of a component's members with a block of those who meet it.
+    A cell is a block of members with a block of those who meet them. Where both are the same
+    rows (mutual), any two blocks meet in one cell only.
     """
     guests = meets.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    size = labelled.select(F.col("comp").alias("main")).join(guests, "main").groupBy("main", "parts").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
+    size = members.select("main").join(guests, "main").groupBy("main", "parts").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
     size = materialise(size, "sizes")
     groups = pieces((size.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0) + meets.count(), 10_000)
     deal = F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int").alias("g")
     share = lambda over: F.pmod(F.xxhash64("id"), F.col(over)).cast("int")
     every = lambda over: F.explode(F.sequence(F.lit(0), F.col(over) - 1))
     cell = F.col("row") * F.col("parts") + F.col("part")
-    members = labelled.select("id", F.col("comp").alias("main")).join(size, "main").withColumn("row", share("blocks")).withColumn("part", every("parts"))
+    inner = members.join(size, "main").withColumn("row", share("blocks")).withColumn("part", every("parts"))
     outer = meets.join(size, "main").withColumn("part", share("parts")).withColumn("row", every("blocks"))
-    dealt = lambda df: df.withColumn("cell", cell).select(deal, "main", "cell", "id")
-    return dealt(members), dealt(outer), groups
+    once = F.col("part") <= F.col("row") if mutual else F.lit(True)
+    dealt = lambda df: df.where(once).withColumn("cell", cell).select(deal, "main", "cell", "id", "comp")
+    return dealt(inner), dealt(outer), groups
 
 
 def _cells(table: pa.Table, main: str, cell: str) -> dict[tuple[int, int], np.ndarray]:
@@ -143,30 +146,37 @@ def _signs(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=">u4").astype(np.uint32).reshape(len(column), -1)
 
 
-def _meet_components(labelled: DataFrame, meets: DataFrame, texts: DataFrame, width: int, percent: int, block: int = 4096) -> DataFrame:
-    """Links (a, b) between those outside and the components that they meet: one for each block that has any."""
-    signs = labelled.select("id", "sign")
-    members, outer, groups = _blocks_of(labelled, meets, block)
+def _likely(at: np.ndarray, own: tuple[int, int, np.ndarray], ids: np.ndarray, comp: np.ndarray, signs: np.ndarray, least: float) -> np.ndarray:
+    """Of the members at these places, those of other components than own (id, component, signature) that agree enough, the likeliest first."""
+    if (ids[at] == own[0]).any():  # a block with itself: each pair once
+        at = at[ids[at] > own[0]]
+    at = at[comp[at] != own[1]]
+    agree = (signs[at] == own[2]).sum(axis=1)
+    return at[np.argsort(-agree, kind="stable")][: int((agree >= least).sum())]
+
+
+def _meet_in_blocks(members: DataFrame, meets: DataFrame, signs: DataFrame, texts: DataFrame, width: int, percent: int, block: int, mutual: bool = False) -> DataFrame:
+    """Links (a, b) between (id, comp, main) of meets and of members with the same main: in each task enough to join all components that are linked there."""
+    members, outer, groups = _blocks_of(members, meets, block, mutual)
 
     def screen(left: pa.Table, right: pa.Table) -> pa.Table:
         """Who has a partner at all."""
-        out: dict[tuple[int, int, int, bool], None] = {}
+        out: dict[tuple[int, int, int, int, bool], None] = {}
         if left.num_rows and right.num_rows:
             mine, theirs, cells = _signs(left.column("osign")), _signs(right.column("sign")), _cells(right, "main", "cell")
-            ids, least = right.column("id").to_numpy(), least_agreement(theirs.shape[1], percent)
-            for i, (m, c, x) in enumerate(zip(*(left.column(k).to_pylist() for k in ("omain", "ocell", "oid")))):
-                at = cells.get((m, c), np.zeros(0, np.int64))
-                at = at[(theirs[at] == mine[i]).sum(axis=1) >= least]
+            ids, comp, least = right.column("id").to_numpy(), right.column("comp").to_numpy(), least_agreement(theirs.shape[1], percent)
+            for i, (m, c, x, k) in enumerate(zip(*(left.column(k).to_pylist() for k in ("omain", "ocell", "oid", "ocomp")))):
+                at = _likely(cells.get((m, c), np.zeros(0, np.int64)), (x, k, mine[i]), ids, comp, theirs, least)
                 if len(at):
-                    out[m, c, x, True] = None
-                    out.update(dict.fromkeys((m, c, y, False) for y in ids[at].tolist()))
-        columns = list(zip(*out)) or [(), (), (), ()]
-        return pa.table({"main": pa.array(columns[0], pa.int64()), "cell": pa.array(columns[1], pa.int32()), "id": pa.array(columns[2], pa.int64()), "outer": pa.array(columns[3], pa.bool_())})
+                    out[m, c, x, k, True] = None
+                    out.update(dict.fromkeys((m, c, *y, False) for y in zip(ids[at].tolist(), comp[at].tolist())))
+        columns = list(zip(*out)) or [()] * 5
+        return pa.table({"main": pa.array(columns[0], pa.int64()), "cell": pa.array(columns[1], pa.int32()), "id": pa.array(columns[2], pa.int64()), "comp": pa.array(columns[3], pa.int64()), "outer": pa.array(columns[4], pa.bool_())})
 
-    aside = lambda df, *more: df.select(F.col("g").alias("g"), *[F.col(c).alias(f"o{c}") for c in ("main", "cell", "id", "sign", *more)])
+    aside = lambda df, *more: df.select(F.col("g").alias("g"), *[F.col(c).alias(f"o{c}") for c in ("main", "cell", "id", "comp", "sign", *more)])
     left = aside(outer.join(signs, "id")).repartition(partitions(groups), "g").groupBy("g")
     right = members.join(signs, "id").repartition(partitions(groups), "g").groupBy("g")
-    some = materialise(left.cogroup(right).applyInArrow(screen, "main long, cell int, id long, outer boolean"), "screened")
+    some = materialise(left.cogroup(right).applyInArrow(screen, "main long, cell int, id long, comp long, outer boolean"), "screened")
     groups = pieces(some.count(), 1000)
     full = some.join(texts, "id").join(signs, "id").withColumn("g", F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int"))
 
@@ -175,19 +185,22 @@ def _meet_components(labelled: DataFrame, meets: DataFrame, texts: DataFrame, wi
         if left.num_rows and right.num_rows:
             mine, theirs, cells = _signs(left.column("osign")), _signs(right.column("sign")), _cells(right, "main", "cell")
             ids, least = right.column("id").to_numpy(), least_agreement(theirs.shape[1], percent)
+            comp, own = right.column("comp").to_numpy().copy(), left.column("ocomp").to_numpy().copy()  # as joined by the links found here
             sets = list(_sets(right, "text", width))
-            for i, (m, c, x, own) in enumerate(zip(*(left.column(k).to_pylist() for k in ("omain", "ocell", "oid")), _sets(left, "otext", width))):
-                at = cells.get((m, c), np.zeros(0, np.int64))
-                agree = (theirs[at] == mine[i]).sum(axis=1)
-                for j in at[np.argsort(-agree, kind="stable")][: int((agree >= least).sum())].tolist():
-                    if _linked(own, sets[j], percent):
+            for i, (m, c, x, s) in enumerate(zip(*(left.column(k).to_pylist() for k in ("omain", "ocell", "oid")), _sets(left, "otext", width))):
+                at = _likely(cells.get((m, c), np.zeros(0, np.int64)), (x, own[i], mine[i]), ids, comp, theirs, least)
+                while len(at):
+                    j, at = at[0], at[1:]
+                    if _linked(s, sets[j], percent):
                         a.append(min(x, int(ids[j])))
                         b.append(max(x, int(ids[j])))
-                        break
+                        joined = comp[j]
+                        comp[comp == joined], own[own == joined] = own[i], own[i]
+                        at = at[comp[at] != own[i]]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     left = aside(full.where("outer"), "text").repartition(partitions(groups), "g").groupBy("g")
-    right = full.where("NOT outer").select("g", "main", "cell", "id", "sign", "text").repartition(partitions(groups), "g").groupBy("g")
+    right = full.where("NOT outer").select("g", "main", "cell", "id", "comp", "sign", "text").repartition(partitions(groups), "g").groupBy("g")
     return left.cogroup(right).applyInArrow(confirm, "a long, b long")
 
 
@@ -210,28 +223,19 @@ def _meet_each_other(outsiders: DataFrame, signs: DataFrame, percent: int) -> Da
     return signed.repartition(partitions(groups), "g").groupBy("g").applyInArrow(meet, "a long, b long")
 
 
-def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """(links found against whole components, pairs of outsiders still to be confirmed)."""
+def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, crowd: int, block: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """(links found in blocks, pairs of outsiders still to be confirmed)."""
     signs = labelled.select("id", "sign")
-    links, pairs, heavy, met = None, None, None, None
-    for d in range(base, depth + 1):
-        forest = _regions(labelled, trees, depth, d)
-        if heavy is not None:
-            forest = forest.join(heavy.select(F.col("h").alias("up")).distinct(), "up", "left_semi")
-        forest = materialise(forest.select("h", "id", "comp"), "regions")
-        outside = materialise(_outsiders(forest), "outside")
-        meets = outside.select("id", "main").distinct()
-        meets = materialise(meets if met is None else meets.join(met, ["id", "main"], "left_anti"), "meets")
-        met = meets if met is None else met.unionByName(meets)
-        found = _meet_components(labelled, meets, texts, width, percent)
-        links = found if links is None else links.unionByName(found)
-        light = outside if d == depth else outside.where(F.col("outside") <= crowd)
-        more = _meet_each_other(light, signs, percent)
-        pairs = more if pairs is None else pairs.unionByName(more)
-        heavy = outside.where(F.col("outside") > crowd)
-        if d == depth or heavy.isEmpty():
-            return links, pairs.distinct()
-    raise AssertionError
+    forest = materialise(_regions(labelled, trees, depth, base), "regions")
+    outside = materialise(_outsiders(forest), "outside")
+    meets = materialise(outside.select("id", "comp", "main").distinct(), "meets")
+    links = _meet_in_blocks(labelled.select("id", "comp", F.col("comp").alias("main")), meets, signs, texts, width, percent, block)
+    pairs = _meet_each_other(outside.where(F.col("outside") <= crowd), signs, percent)
+    heavy = outside.where(F.col("outside") > crowd).select("id", "comp", F.col("h").alias("main")).distinct()
+    if not heavy.isEmpty():
+        heavy = materialise(heavy, "heavy")
+        links = links.unionByName(_meet_in_blocks(heavy, heavy, signs, texts, width, percent, block, mutual=True))
+    return links, pairs.distinct()
 
 
 def _neighbours(depth: int, base: int, before: int):
@@ -387,6 +391,7 @@ def near_duplicates(
     base: int = 4,
     before: int = 1,
     crowd: int = 256,
+    block: int = 4096,
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links of percent similarity or more) and kept."""
     bounded_batches(docs.sparkSession)
@@ -410,7 +415,7 @@ def near_duplicates(
     roots = tree_roots(confirmed(best))
     roots = merged(roots, confirmed(_between(pairs, roots).join(best, ["a", "b"], "left_anti")))
     labelled = materialise(near.join(roots, "id", "left").select("id", "sign", F.coalesce("root", "id").alias("comp")), "labelled")
-    found, rest = _crowded(labelled, texts, trees, depth, base, percent, shingle_words, crowd)
+    found, rest = _crowded(labelled, texts, trees, depth, base, percent, shingle_words, crowd, block)
     roots = merged(roots, materialise(found, "links"))
     rest = rest.join(pairs, ["a", "b"], "left_anti")
     roots = merged(roots, confirmed(_between(rest, roots)))

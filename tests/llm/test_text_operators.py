@@ -202,6 +202,16 @@ def test_outsiders_meet_the_largest_component_of_a_deeper_region(spark):
     assert (5, 6) in crowded(spark, rows, crowd=0)
 
 
+@pytest.mark.parametrize("block", [1, 2, 4096])
+def test_outsiders_of_a_crowded_region_all_meet_each_other(spark, block):
+    rows = [(i, 1, f"main {i}", (1, 10)) for i in range(1, 10)] + [(20 + i, 20 + i, f"a b c d e{i % 4}" if i < 8 else f"own {i}", (1, 20 + i)) for i in range(10)]
+    links = frame(spark, sorted(crowded(spark, rows, crowd=3, block=block)), "a long, b long")
+    assert {r.id: r.root for r in near_dedup.components(links).collect()} == {24: 20, 25: 21, 26: 22, 27: 23}
+    several = [*rows, (40, 40, "p q r s t u v w x y", (1, 1)), (41, 41, "p q r s t u v w x", (1, 2)), (42, 42, "q r s t u v w x y", (1, 3))]
+    links = frame(spark, sorted(crowded(spark, several, crowd=3, block=block)), "a long, b long")
+    assert {r.id: r.root for r in near_dedup.components(links).collect()} == {24: 20, 25: 21, 26: 22, 27: 23, 41: 40, 42: 40}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.range(1, 300).select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
     got = near_dedup.components(links.unionByName(spark.createDataFrame([(1000, 999)], "a long, b long"))).collect()
