@@ -21,10 +21,15 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles, similarity of 0.8 or more."""
-    found = near_dedup.near_duplicates(docs, shingle_words=5, percent=80)
-    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group stays, that with the smallest id: five-word shingles, similarity of 0.8 or more.
+
+    Rows are numbered for it, so those without id or with a repeated one are judged like others.
+    """
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    found = near_dedup.near_duplicates(rows, shingle_words=5, percent=80, id_col="__row").select("__row", "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__row")
+    stay = rows.select("__row", "doc_id").join(found, "__row").groupBy("component_id").agg(F.min(order).alias("m"))
+    return rows.join(stay.select("m.__row"), "__row", "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -285,3 +285,11 @@ def test_pipeline_stages_against_brute_force(spark):
 
     sharded = stage["sharding"](spark, mixed, SF).collect()
     assert Counter(r.doc_id for r in sharded) == words and {r.shard for r in sharded} == set(range(16))
+
+
+def test_near_dedup_stage_on_missing_and_repeated_ids(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "one two three four five six"), (1, "one two three four five six"), (None, words), (None, f"{words} more"), (7, "a b c d e f"), (7, "a b c d e f"), (7, "g h i j k l"), (None, None)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    found = Counter((r.doc_id, r.text and r.text[:3]) for r in kept)
+    assert found == Counter({(1, "one"): 1, (None, "w0 "): 1, (7, "a b"): 1, (7, "g h"): 1, (None, None): 1})
