@@ -15,9 +15,9 @@ from millrace.llm.common import materialise, table
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (no letters, or no text) go; lang and source don't matter."""
+    """Documents without a letter (or without text) go, and no others, even where no language could be learned."""
     found = language_id.identify(docs)
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) | F.col("text").rlike(r"\p{L}")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

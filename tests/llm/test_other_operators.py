@@ -293,3 +293,10 @@ def test_near_dedup_stage_on_missing_and_repeated_ids(spark):
     kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
     found = Counter((r.doc_id, r.text and r.text[:3]) for r in kept)
     assert found == Counter({(1, "one"): 1, (None, "w0 "): 1, (7, "a b"): 1, (7, "g h"): 1, (None, None): 1})
+
+
+def test_language_stage_goes_by_letters_alone(spark):
+    for lang in (None, "und"):
+        rows = [(1, "text", lang), (2, "12 !", lang), (3, None, lang), (4, "= é 7", lang), (5, "", lang)]
+        kept = corpus_pipeline.detect_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), SF).collect()
+        assert sorted(r.doc_id for r in kept) == [1, 4]
