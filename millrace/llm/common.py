@@ -3,33 +3,61 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words are maximal runs of anything but ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The shared folder for intermediate tables: spark.checkpoint.dir. Where it is unset, a local one in local mode alone (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
+_open: list[list[str]] = []
+
+
+def materialise(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Within temporary() the table goes when that ends, unless it is to be kept because a
+    result still reads it; then it is left to the temporary() around that one, if any.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    for paths in (_open[:-1] if keep else _open)[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised within are deleted at its end: nothing lazy may read them by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _open.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 BATCH_BYTES = 8 << 20
 
 
@@ -70,5 +98,27 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in clash])
 
 
+def apart(df: DataFrame, *names: str) -> list[str]:
+    """These names, with as many underscores before them as keep them apart from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def hashable(df: DataFrame) -> list[Column]:
+    """All columns in a form that can be hashed: those that hold maps as JSON."""
+
+    def holds_map(t: T.DataType) -> bool:
+        inner = [f.dataType for f in t.fields] if isinstance(t, T.StructType) else [t.elementType] if isinstance(t, T.ArrayType) else []
+        return isinstance(t, (T.MapType, T.VariantType)) or any(map(holds_map, inner))
+
+    return [F.to_json(F.struct(F.col(f"`{f.name}`"))) if holds_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

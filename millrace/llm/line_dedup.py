@@ -3,13 +3,15 @@
 Lines are exploded as (document, 128-bit hash of the normalised line), one row for each
 document and distinct key, so the count of a key is its count of documents. Partial
 aggregation sends at most one row per key and task, however common a line is. The keys
-over the threshold are joined back, gathered per document, and the text is put together
-again from the lines that stay, in their order.
+over the threshold are joined back to the exploded lines, which gives the positions to
+drop. These are gathered for each text, and the text is put together again from the
+positions that stay, in their order: the work on a text grows with its lines alone, not
+with lines times drops.
 
 Defined cases: a null or empty text is one empty line, which stays; ids identify
 documents, and rows that repeat an id count as one document and are judged alike; a null
-id counts as one document too. Extra input columns are carried along; columns named like
-an output are replaced.
+id counts as one document too. Texts are told apart by id and 128-bit hash. Extra input
+columns are carried along, whatever their names; columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import apart
+
 OUTPUTS = ("n_lines", "n_dropped", "kept_text")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,10 +42,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A key of min_chars code points or more in min_docs documents or more loses all its
     lines except those of the largest id that holds it.
     """
-    ident = F.col(f"`{id_col}`")
-    lines = F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\n", -1)
+    ident, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    lines = F.split(text, "\n", -1)
     # Each step of these arrays is computed once: key, then hash; short lines have no hash.
     hashes = F.transform(F.transform(lines, line_key), lambda k: F.when(F.length(k) >= min_chars, _hash(k)))
+    which = [ident.alias("id"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit("text"), text).alias("u")]
     seen = docs.select(ident.alias("id"), F.explode(F.array_compact(F.array_distinct(hashes))).alias("h")).distinct()
     common = (
         seen.groupBy("h")
@@ -49,18 +54,25 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where(F.col("n") >= min_docs)
         .select("h", "keeper")
     )
-    drops = (
-        seen.join(common, "h")
-        .where(~F.col("id").eqNullSafe(F.col("keeper")))
-        .groupBy("id")
-        .agg(F.collect_list("h").alias("__drop"))
-        .withColumnRenamed("id", "__id")
+    drops = seen.join(common, "h").where(~F.col("id").eqNullSafe(F.col("keeper"))).select(F.col("id").alias("d_id"), F.col("h").alias("d_h"))
+    placed = docs.select(*which, F.posexplode(hashes).alias("pos", "h")).where("h is not null")
+    # A set: rows alike in id and text add nothing to one another, however many they are.
+    gone = (
+        placed.join(drops, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("h") == F.col("d_h")), "left_semi")
+        .groupBy("id", "t", "u")
+        .agg(F.collect_set("pos").alias("gone"))
     )
-    rest = [c for c in docs.columns if c.lower() not in OUTPUTS]
-    joined = docs.join(drops, ident.eqNullSafe(F.col("__id")), "left")
-    stays = lambda pair: ~F.coalesce(F.array_contains(F.col("__drop"), pair["h"]), F.lit(False))
-    kept = F.filter(F.arrays_zip(lines.alias("line"), hashes.alias("h")), stays)["line"]
-    return (
-        joined.withColumns({"__n": F.size(lines).cast("long"), "__kept": F.when(F.col("__drop").isNull(), lines).otherwise(kept)})
-        .select(*[F.col(f"`{c}`") for c in rest], F.col("__n").alias("n_lines"), (F.col("__n") - F.size("__kept")).alias("n_dropped"), F.array_join("__kept", "\n").alias("kept_text"))
+    at_id, at_t, at_u, at_gone, at_lines, at_kept = apart(docs, "__id", "__t", "__u", "__gone", "__lines", "__kept")
+    gone = gone.toDF(at_id, at_t, at_u, at_gone)
+    same = ident.eqNullSafe(F.col(at_id)) & (F.xxhash64(text) == F.col(at_t)) & (F.xxhash64(F.lit("text"), text) == F.col(at_u))
+    joined = docs.join(gone, same, "left").withColumn(at_lines, lines)
+    line = lambda i: F.get(F.col(at_lines), i)
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(at_lines) - 1), F.col(at_gone)), line)
+    joined = joined.withColumn(at_kept, F.when(F.col(at_gone).isNull(), F.col(at_lines)).otherwise(kept))
+    n_lines = F.size(at_lines).cast("long")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in OUTPUTS],
+        n_lines.alias("n_lines"),
+        (n_lines - F.size(at_kept)).alias("n_dropped"),
+        F.array_join(at_kept, "\n").alias("kept_text"),
     )

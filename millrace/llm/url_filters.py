@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import apart, without
 
 OUTPUTS = ("host", "path", "rule", "verdict", "pattern_rule")
 
@@ -96,42 +96,43 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
         raise ValueError("every rule needs a literal token")
     pages = without(pages, *OUTPUTS)
     url = F.col(f"`{url_col}`")
+    at_place, at_hits, at_rule, at_pattern, at_url = apart(pages, "__place", "__hits", "__rule", "__pattern", "__url")
     index = rarest_tokens(pages, rules, url_col)
     place = F.concat(host_of(url), path_of(url))
     # Prefix rules first, the longest first; then patterns as listed.
     order = sorted(range(len(rules)), key=lambda i: (not rules[i].prefix, -len(rules[i].name) if rules[i].prefix else i, i))
     rows = [(index[i], (rules[i].verdict, rules[i].name, rules[i].pattern, rules[i].prefix, n)) for n, i in enumerate(order)]
-    fits = lambda r: F.call_function("rlike", F.col("__place"), r["pattern"])
+    fits = lambda r: F.call_function("rlike", F.col(at_place), r["pattern"])
     if len(rows) <= max_indexed:
         by_token: dict[str, list] = {}
         for token, rule in rows:
             by_token.setdefault(token, []).append(rule)
         entry = lambda r: F.struct(*[F.lit(v).alias(k) for k, v in zip(("verdict", "name", "pattern", "prefix", "rank"), r)])
         items = [x for token, rs in by_token.items() for x in (F.lit(token), F.array(*[entry(r) for r in rs]))]
-        held = pages.withColumn("__place", place)
+        held = pages.withColumn(at_place, place)
         if items:
-            candidates = F.flatten(F.filter(F.transform(_tokens(F.col("__place")), lambda t: F.try_element_at(F.create_map(*items), t)), lambda c: c.isNotNull()))
-            held = held.withColumn("__hits", F.filter(candidates, fits))
+            candidates = F.flatten(F.filter(F.transform(_tokens(F.col(at_place)), lambda t: F.try_element_at(F.create_map(*items), t)), lambda c: c.isNotNull()))
+            held = held.withColumn(at_hits, F.filter(candidates, fits))
         else:
-            held = held.withColumn("__hits", F.lit(None).cast(f"array<{_CANDIDATE}>"))
+            held = held.withColumn(at_hits, F.lit(None).cast(f"array<{_CANDIDATE}>"))
     else:
         table = pages.sparkSession.createDataFrame(rows, f"token string, r {_CANDIDATE}")
-        urls = pages.select(url.alias("__url"), place.alias("__place")).distinct()
+        urls = pages.select(url.alias(at_url), place.alias(at_place)).distinct()
         hits = (
-            urls.withColumn("token", F.explode(_tokens(F.col("__place"))))
+            urls.withColumn("token", F.explode(_tokens(F.col(at_place))))
             .join(table, "token")
             .where(fits(F.col("r")))
-            .groupBy("__url")
-            .agg(F.collect_list("r").alias("__hits"))
+            .groupBy(at_url)
+            .agg(F.collect_list("r").alias(at_hits))
         )
-        held = pages.withColumn("__place", place).join(hits, url == F.col("__url"), "left").drop("__url")
-    first = lambda prefix: F.array_min(F.transform(F.filter(F.col("__hits"), lambda r: r["prefix"] == F.lit(prefix)), lambda r: F.struct(r["rank"].alias("rank"), r["name"].alias("name"), r["verdict"].alias("verdict"))))
-    held = held.withColumns({"__rule": first(True), "__pattern": first(False)})
+        held = pages.withColumn(at_place, place).join(hits, url == F.col(at_url), "left").drop(at_url)
+    first = lambda prefix: F.array_min(F.transform(F.filter(F.col(at_hits), lambda r: r["prefix"] == F.lit(prefix)), lambda r: F.struct(r["rank"].alias("rank"), r["name"].alias("name"), r["verdict"].alias("verdict"))))
+    held = held.withColumns({at_rule: first(True), at_pattern: first(False)})
     return held.select(
         *[F.col(f"`{c}`") for c in pages.columns],
         host_of(url).alias("host"),
         path_of(url).alias("path"),
-        F.col("__rule.name").alias("rule"),
-        F.col("__pattern.name").alias("pattern_rule"),
-        F.coalesce(F.col("__rule.verdict"), F.col("__pattern.verdict"), F.lit(default)).alias("verdict"),
+        F.col(f"{at_rule}.name").alias("rule"),
+        F.col(f"{at_pattern}.name").alias("pattern_rule"),
+        F.coalesce(F.col(f"{at_rule}.verdict"), F.col(f"{at_pattern}.verdict"), F.lit(default)).alias("verdict"),
     )
