@@ -3,51 +3,68 @@
 Targets: sources in code point order (null last) take the weights in turn and share
 `share` times all words; a target stops at `most` times its source's words and what is
 over is shared again by weight. A source whose target is f times its words gets
-floor(f) whole copies of each document for certain. The rest is a sample: documents are
-ranked by random odds divided by inclusion odds, (u/(1-u)) / (p/(1-p)), and taken from
-the smallest on until the words still wanted are met as closely as whole documents
-allow. u comes from a hash of the id, so reruns agree. p is the source's remaining share,
-tilted by weight_col where one is given.
-
-The cut in each source's order is found without sorting the source: histograms of the
-rank over all documents (one row for each source and bin) narrow the interval until few
-documents are left in it, which are then ordered. So no task ever holds a source.
+floor(f) whole copies of each document for certain. The rest is a sample of unequal
+probabilities: a document's inclusion odds p / (1 - p) are proportional to its weight.
+Documents are ranked by random odds divided by inclusion odds, (u / (1 - u)) / weight (a
+source's common factor changes no order), and taken from the smallest on until the words
+still wanted are met as closely as whole documents allow, which fixes the factor. So p
+stays below one whatever the weights, and no probability has to be cut off.
+
+The weight is weight_col where one is given. Otherwise it is size / (size + half_words):
+very short documents are the less likely to be taken, one of half_words words half as
+likely (in odds) as a very long one. u comes from a hash of the id, so reruns agree.
+
+The cut in each source's order is found without sorting the source: a histogram of the
+ranks (one row for each source and bin) gives the bin that holds the cut; the documents
+of that bin alone are binned again, three times in all, and those of the last bin are
+ordered. All of it are grouped aggregates and windows over a source's bins, so no task
+holds a source and the driver sees totals over all sources alone. The table of sources is
+broadcast while it has at most BROADCAST_SOURCES rows, and joined like any other beyond.
 
 Defined cases: a null text has size 0; null is a source of its own; documents without id
-draw from their text; rows with equal rank and id are taken or left together; a source
-without words has target 0. Only totals of sources are collected, at most max_sources.
+draw from their text; rows with equal rank and id are taken or left together; a document
+of weight zero, below zero, null or not a number is not sampled (its whole copies stay);
+a source without words has target 0; a very long text is one document. Extra columns are
+carried, whatever their names; columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import SPACE_WORD, materialise, without
+from .common import SPACE_WORD, apart, materialise, pieces, temporary, without
 
-BROADCAST_SOURCES = 10_000
+BROADCAST_SOURCES = 100_000
 OUTPUTS = ("size", "source_size", "target", "copies", "taken")
 
 
-def allocate(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> dict[str | None, float]:
-    """Each source's target words."""
-    order = sorted((s for s, _ in sizes), key=lambda s: (s is None, s or ""))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    cap = {s: most * n for s, n in sizes}
-    target, free, left = {}, set(order), share * sum(n for _, n in sizes)
-    while free:
-        each = sum(weight[s] for s in free)
-        over = {s for s in free if left * weight[s] / each > cap[s]}
-        if not over:
-            return target | {s: left * weight[s] / each for s in free}
-        target |= {s: cap[s] for s in over}
-        left -= sum(cap[s] for s in over)
-        free -= over
-    return target
+def numbered(sources: DataFrame) -> DataFrame:
+    """Sources (s, n) with their place in code point order, null last; ranges of the order are counted apart."""
+    parts = pieces(sources.count(), 100_000)
+    order = [F.col("s").isNull(), F.col("s")]
+    ranged = materialise(sources.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "sources")
+    ranged = ranged.withColumn("i", F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1)
+    # One row for each range.
+    before = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("k")).withColumn("before", F.sum("k").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
+    return ranged.join(F.broadcast(before), "part").select("s", "n", (F.col("i") + F.coalesce("before", F.lit(0))).alias("place"))
+
+
+def allocate(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """Sources (s, n) with their target words. Each round of sharing is one pass over the sources."""
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    held = materialise(numbered(sources).select("s", "n", weight.alias("w"), (F.lit(float(most)) * F.col("n")).alias("cap")), "sources")
+    total = held.agg(F.sum("n")).first()[0] or 0
+    full, known, rest, each = F.lit(False), 0, share * total, 0.0
+    while True:
+        row = held.agg(F.count_if(full).alias("k"), F.sum(F.when(full, F.col("cap"))).alias("cap"), F.sum(F.when(~full, F.col("w"))).alias("w")).first()
+        rest, each = share * total - (row.cap or 0.0), row.w or 1.0
+        if known and row.k == known[0]:
+            break
+        known = (row.k,)
+        full = full | (F.lit(rest) * F.col("w") / F.lit(each) > F.col("cap"))
+    return held.select("s", "n", F.when(full, F.col("cap")).otherwise(F.lit(rest) * F.col("w") / F.lit(each)).alias("target"))
 
 
 def _draw(id_col: Column, text: Column, seed: str) -> Column:
@@ -55,12 +72,6 @@ def _draw(id_col: Column, text: Column, seed: str) -> Column:
     return (F.conv(F.substring(hexes, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def _rank(u: Column, p: Column) -> Column:
-    """Random odds over inclusion odds, carried from (0, inf) to (0, 1)."""
-    q = F.try_divide(u / (1 - u), F.try_divide(p, 1 - p))
-    return F.when(p >= 1, F.lit(0.0)).otherwise(q / (1 + q))
-
-
 def mix_sources(
     docs: DataFrame,
     weights: tuple[float, ...] = (5, 2, 1),
@@ -71,94 +82,86 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     weight_col: str | None = None,
+    half_words: int = 100,
     bins: int = 1024,
-    few: int = 10_000,
-    max_sources: int = 100_000,
 ) -> DataFrame:
     """docs with size, source_size, target, copies and taken (= copies * size)."""
-    spark = docs.sparkSession
     docs = without(docs, *OUTPUTS)
     size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(SPACE_WORD)), F.lit(0)).cast("long")
-    tilt = F.greatest(F.coalesce(F.col(f"`{weight_col}`").cast("double"), F.lit(0.0)), F.lit(0.0)) if weight_col else F.lit(1.0)
+    u = _draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed)
     tie = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
-    keys = materialise(docs.select(F.col(f"`{source_col}`").alias("s"), size.alias("n"), _draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed).alias("u"), tilt.alias("w"), tie.alias("tie")), "mix")
-    totals = keys.groupBy("s").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("w")).alias("nw")).limit(max_sources + 1).collect()
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources: give a coarser source column")
-    target = allocate([(r.s, r.n) for r in totals], weights, share, most)
-
-    plan = []  # source, words, target, whole copies, words to sample, p per unit of weight
-    for r in totals:
-        whole = int(target[r.s] // r.n) if r.n else 0
-        want = target[r.s] - whole * r.n
-        plan.append((r.s, r.n, float(target[r.s]), whole, float(want), float(want / r.nw) if r.nw else 0.0))
-    per_source = spark.createDataFrame(plan, "s string, source_n long, target double, whole int, want double, unit double")
-    # Tables of one row for each source: broadcast while they are few, joined like any other beyond that.
-    small = F.broadcast if len(plan) <= BROADCAST_SOURCES else lambda df: df
-    cuts = _cuts(keys, per_source, plan, bins, few, small)
-    limits = per_source.join(cuts, per_source.s.eqNullSafe(cuts.cut_s), "left").drop("cut_s")
-
-    limits = limits.withColumnsRenamed({c: f"__{c}" for c in limits.columns})
-    full = docs.withColumns({"__n": size, "__u": _draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed), "__w": tilt, "__tie": tie})
-    full = full.join(small(limits), F.col(f"`{source_col}`").eqNullSafe(F.col("__s")), "left")
-    z = _rank(F.col("__u"), F.least(F.col("__unit") * F.col("__w"), F.lit(1.0)))
-    more = (z < F.col("__cut_z")) | ((z == F.col("__cut_z")) & (F.col("__tie") <= F.col("__cut_tie")))
-    copies = F.col("__whole") + F.when((F.col("__unit") > 0) & (F.col("__w") > 0) & F.coalesce(more, F.lit(False)), 1).otherwise(0)
+
+    def rank(n: Column, u: Column) -> Column:
+        """Random odds over inclusion odds; none where a document is not to be sampled."""
+        weight = F.col(f"`{weight_col}`").cast("double") if weight_col else n / (n + F.lit(float(half_words)))
+        weight = F.when(~F.isnan(weight) & (weight > 0), weight)
+        return u / (1 - u) / weight
+
+    with temporary(docs.sparkSession):
+        keys = docs.select(F.col(f"`{source_col}`").alias("s"), size.alias("n"), rank(size, u).alias("q"), tie.alias("tie"))
+        # Rows with equal rank and id count as one: they are taken or left together.
+        keys = materialise(keys.groupBy("s", "q", "tie").agg(F.sum("n").alias("n")), "mix")
+        targets = allocate(keys.groupBy("s").agg(F.sum("n").alias("n")), weights, share, most)
+        whole = F.when(F.col("n") > 0, F.floor(F.col("target") / F.col("n"))).otherwise(0).cast("int")
+        goals = materialise(targets.withColumn("whole", whole).withColumn("want", F.col("target") - F.col("whole") * F.col("n")), "goals")
+        # Tables of one row for each source: broadcast while they are few, joined like any other beyond that.
+        small = F.broadcast if goals.count() <= BROADCAST_SOURCES else lambda df: df
+        cuts = cut_points(keys.where("q is not null"), goals.where("want > 0").select("s", "want"), bins, small)
+        limits = goals.join(cuts, goals.s.eqNullSafe(cuts.cut_s), "left").drop("cut_s", "want")
+        limits = materialise(limits, "limits", keep=True)
+
+    names = dict(zip(limits.columns, apart(docs, *[f"__{c}" for c in limits.columns])))
+    at_size, at_u, at_q, at_tie, at_copies = apart(docs, "__size", "__u", "__q", "__key", "__copies")
+    at = {k: F.col(v) for k, v in names.items()}
+    full = docs.withColumns({at_size: size, at_u: u, at_tie: tie}).withColumn(at_q, rank(F.col(at_size), F.col(at_u)))
+    full = full.join(small(limits.withColumnsRenamed(names)), F.col(f"`{source_col}`").eqNullSafe(at["s"]), "left")
+    q = F.col(at_q)
+    more = (_line(q) < at["low"]) | (q < at["cut_q"]) | ((q == at["cut_q"]) & (F.col(at_tie) <= at["cut_tie"]))
+    full = full.withColumn(at_copies, at["whole"] + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0))
     return full.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("__n").alias("size"),
-        F.col("__source_n").alias("source_size"),
-        F.col("__target").alias("target"),
-        copies.alias("copies"),
-        (copies * F.col("__n")).cast("long").alias("taken"),
+        F.col(at_size).alias("size"),
+        at["n"].alias("source_size"),
+        at["target"].alias("target"),
+        F.col(at_copies).alias("copies"),
+        (F.col(at_copies) * F.col(at_size)).cast("long").alias("taken"),
     )
 
 
-def _cuts(keys: DataFrame, per_source: DataFrame, plan: list[tuple], bins: int, few: int, small) -> DataFrame:
-    """(cut_s, cut_z, cut_tie): the last document taken in each source's order; none where none is."""
-    spark = keys.sparkSession
-    ps = per_source.select(F.col("s").alias("p_s"), "unit").where("unit > 0")
-    ranked = keys.join(small(ps), keys.s.eqNullSafe(ps.p_s)).where("w > 0").select("s", "n", "tie", _rank(F.col("u"), F.least(F.col("unit") * F.col("w"), F.lit(1.0))).alias("z"))
-    # source: [low, width, words wanted from here on, settled]
-    state = {s: [0.0, 1.0, want, False] for s, _, _, _, want, unit in plan if unit > 0 and want > 0}
-    for _ in range(5):
-        open_ = [(s, lo, width) for s, (lo, width, _, done) in state.items() if not done]
-        if not open_:
-            break
-        part = spark.createDataFrame(open_, "o_s string, lo double, width double")
-        inside = ranked.join(small(part), ranked.s.eqNullSafe(part.o_s)).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + F.col("width")))
-        b = F.least(F.floor((F.col("z") - F.col("lo")) / F.col("width") * bins), F.lit(bins - 1)).cast("int")
-        hist: dict = {}
-        for r in inside.groupBy("s", b.alias("b")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect():
-            hist.setdefault(r.s, {})[r.b] = (r.n, r.k)
-        for s, lo, width in open_:
-            want, at = state[s][2], None
-            for i, (n, k) in sorted(hist.get(s, {}).items()):
-                at = (i, k, want)
-                if want <= n:
-                    break
-                want -= n
-            if at is None:
-                state[s][3] = True
-                continue
-            i, k, want = at
-            state[s] = [lo + width * i / bins, width / bins, want, k <= few]
-    rows = [(s, lo, width, want) for s, (lo, width, want, _) in state.items()]
-    part = spark.createDataFrame(rows, "o_s string, lo double, width double, want double")
-    # The crossing bin alone is ordered; one row before it stands for "nothing of this bin".
-    inside = ranked.join(small(part), ranked.s.eqNullSafe(part.o_s)).where((F.col("z") >= F.col("lo")) & (F.col("z") < F.col("lo") + F.col("width")))
-    none = part.select(F.col("o_s").alias("s"), F.lit(0).cast("long").alias("n"), F.lit("").alias("tie"), F.lit(-math.inf).alias("z"), "lo", "want")
-    order = Window.partitionBy("s").orderBy("z", "tie")  # equal rank and id: one step
-    ladder = inside.select("s", "n", "tie", "z", "lo", "want").unionByName(none).withColumn("cum", F.sum("n").over(order))
-    best = ladder.groupBy("s").agg(F.min(F.struct(F.abs(F.col("cum") - F.col("want")).alias("gap"), "z", "tie", "lo")).alias("m"))
-    # Below the crossing bin everything is taken: a cut just under its start if no document of it is.
-    return best.select(
-        F.col("s").alias("cut_s"),
-        F.when(F.col("m.z") == -math.inf, F.col("m.lo")).otherwise(F.col("m.z")).alias("cut_z"),
-        F.when(F.col("m.z") == -math.inf, F.lit("")).otherwise(F.col("m.tie")).alias("cut_tie"),
-    )
+def _line(q: Column) -> Column:
+    """Ranks carried from (0, inf) to (0, 1), in order."""
+    return q / (1 + q)
+
+
+def cut_points(keys: DataFrame, goals: DataFrame, bins: int, small) -> DataFrame:
+    """(cut_s, low, cut_q, cut_tie): all below low are taken, and from there to the last document (cut_q, cut_tie); no such one where none is."""
+    inside = keys.select("s", "n", "q", "tie", _line(F.col("q")).alias("z"))
+    state = goals.select("s", F.lit(0.0).alias("low"), F.lit(1.0).alias("width"), "want")
+    for _ in range(3):
+        open_ = small(state.withColumnRenamed("s", "o_s"))
+        binned = inside.select("s", "n", "q", "tie", "z").join(open_, F.col("s").eqNullSafe(F.col("o_s"))).drop("o_s")
+        b = F.greatest(F.least(F.floor((F.col("z") - F.col("low")) / F.col("width") * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+        binned = binned.withColumn("b", b)
+        # At most `bins` rows of a source meet in this window.
+        hist = binned.groupBy("s", "low", "width", "want", "b").agg(F.sum("n").alias("k")).withColumn("cum", F.sum("k").over(Window.partitionBy("s").orderBy("b")))
+        here = F.struct("b", (F.col("cum") - F.col("k")).alias("before"))
+        found = hist.groupBy("s", "low", "width", "want").agg(F.coalesce(F.min(F.when(F.col("cum") >= F.col("want"), here)), F.max(here)).alias("m"))
+        found = materialise(found.select("s", "low", "width", F.col("m.b").alias("at"), (F.col("want") - F.col("m.before")).alias("want")), "bins")
+        chosen = small(found.select(F.col("s").alias("c_s"), "at"))
+        inside = binned.join(chosen, F.col("s").eqNullSafe(F.col("c_s")) & (F.col("b") == F.col("at"))).select("s", "n", "q", "tie", "z")
+        inside = materialise(inside, "inside")
+        state = found.select("s", (F.col("low") + F.col("width") * F.col("at") / bins).alias("low"), (F.col("width") / bins).alias("width"), "want")
+    # The last bin alone is ordered; one row before it stands for "nothing of this bin".
+    nothing = state.select("s", F.lit(0).cast("long").alias("n"), F.lit(float("-inf")).alias("q"), F.lit("").alias("tie"))
+    order = Window.partitionBy("s").orderBy("q", "tie")
+    ladder = inside.select("s", "n", "q", "tie").unionByName(nothing).withColumn("cum", F.sum("n").over(order))
+    goal = small(state.select(F.col("s").alias("g_s"), "low", "want"))
+    ladder = ladder.join(goal, F.col("s").eqNullSafe(F.col("g_s")))
+    best = ladder.groupBy("s", "low").agg(F.min(F.struct(F.abs(F.col("cum") - F.col("want")).alias("gap"), "q", "tie")).alias("m"))
+    return best.select(F.col("s").alias("cut_s"), "low", F.col("m.q").alias("cut_q"), F.col("m.tie").alias("cut_tie"))
 
 
 def expand_copies(mixed: DataFrame) -> DataFrame:
     """One row for each copy taken."""
-    return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("__copy")
+    copy = apart(mixed, "__copy")[0]
+    return mixed.where("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("copies")))).drop(copy)

@@ -216,11 +216,11 @@ plan AS (
   SELECT source, n, target, CASE WHEN n > 0 THEN CAST(floor(target / n) AS INTEGER) ELSE 0 END AS whole,
          target - CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END * n AS want FROM goal
 ), ranked AS (
-  SELECT d.*, p.n AS source_size, p.target, p.whole, p.want, CASE WHEN p.n > 0 THEN p.want / p.n ELSE 0 END AS p,
-         (u / (1 - u)) / (CASE WHEN p.want > 0 AND p.n > 0 THEN (p.want / p.n) / (1 - p.want / p.n) ELSE 1 END) AS q
+  SELECT d.*, p.n AS source_size, p.target, p.whole, p.want,
+         CASE WHEN size > 0 THEN u / (1 - u) / (size / (size + 100.0::DOUBLE)) END AS q
   FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 ), ladder AS (
-  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, tie) AS cum FROM ranked
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q NULLS LAST, tie) AS cum FROM ranked
 ), cut AS (
   SELECT source, min(gap) AS gap FROM (
     SELECT source, abs(cum - want) AS gap FROM ladder UNION ALL SELECT source, want FROM plan) GROUP BY source
@@ -229,8 +229,8 @@ plan AS (
   FROM ladder l JOIN cut c ON l.source IS NOT DISTINCT FROM c.source GROUP BY l.source
 )
 SELECT l.doc_id, l.size, l.source_size, l.target,
-       CAST(l.whole + CASE WHEN l.p > 0 AND l.cum <= a.upto THEN 1 ELSE 0 END AS INTEGER) AS copies,
-       CAST((l.whole + CASE WHEN l.p > 0 AND l.cum <= a.upto THEN 1 ELSE 0 END) * l.size AS BIGINT) AS taken
+       CAST(l.whole + CASE WHEN l.q IS NOT NULL AND l.want > 0 AND l.cum <= a.upto THEN 1 ELSE 0 END AS INTEGER) AS copies,
+       CAST((l.whole + CASE WHEN l.q IS NOT NULL AND l.want > 0 AND l.cum <= a.upto THEN 1 ELSE 0 END) * l.size AS BIGINT) AS taken
 FROM ladder l JOIN stop a ON l.source IS NOT DISTINCT FROM a.source
 """
 

@@ -1,5 +1,7 @@
 """URL filters, language ID, sharding, vector search and mixing; the subpackage's queries; the pipeline."""
 
+import hashlib
+import math
 import os
 import random
 import zlib
@@ -177,43 +179,102 @@ def test_few_vectors(spark):
 # ---- mixing ----
 
 
-def test_allocation():
-    assert mixing.allocate([("a", 100), ("b", 100), (None, 100)], (5, 2, 1)) == {"a": 200.0, "b": 250 * 2 / 3, None: 250 / 3}
-    assert mixing.allocate([]) == {} and mixing.allocate([("a", 0)]) == {"a": 0.0}
-    got = mixing.allocate([(f"s{i:02}", 10 * (i + 1)) for i in range(20)])
-    assert sum(got.values()) == pytest.approx(1.5 * 2100) and all(got[f"s{i:02}"] <= 20 * (i + 1) + 1e-9 for i in range(20))
+def allocated(spark, sizes, *args):
+    sources = spark.createDataFrame(list(sizes), "s string, n long")
+    return {r.s: r.target for r in mixing.allocate(sources, *args).collect()}
 
 
-@pytest.mark.parametrize("bins,few", [(4, 5), (1024, 10_000)])
-def test_mixing(spark, bins, few):
+def brute_allocate(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight, target, left = {s: weights[i % len(weights)] for i, s in enumerate(order)}, {}, share * sum(sizes.values())
+    while True:
+        free = [s for s in order if s not in target]
+        each = sum(weight[s] for s in free) or 1
+        over = [s for s in free if left * weight[s] / each > most * sizes[s]]
+        if not over:
+            return target | {s: left * weight[s] / each for s in free}
+        target |= {s: most * sizes[s] for s in over}
+        left = share * sum(sizes.values()) - sum(target.values())
+
+
+def test_allocation(spark):
+    assert allocated(spark, [("a", 100), ("b", 100), (None, 100)], (5, 2, 1)) == {"a": 200.0, "b": 250 * 2 / 3, None: 250 / 3}
+    assert allocated(spark, []) == {} and allocated(spark, [("a", 0)]) == {"a": 0.0}
+    sizes = {f"s{i:02}": 10 * (i + 1) for i in range(20)}
+    assert allocated(spark, sizes.items()) == brute_allocate(sizes)
+
+
+def brute_mix(rows, weights=(5, 2, 1), share=1.5, half=100, seed="mix:", odds=None):
+    """(target, copies) of each row (id, text, source): ranks of each source in one sorted list."""
+    size = [len((t or "").split()) for _, t, _ in rows]
+    sizes = Counter()
+    for n, (_, _, s) in zip(size, rows):
+        sizes[s] += n
+    target = brute_allocate(dict(sizes), weights, share)
+    out = [None] * len(rows)
+    for s, total in sizes.items():
+        own = [k for k, r in enumerate(rows) if r[2] == s]
+        whole = int(target[s] // total) if total else 0
+        want, steps = target[s] - whole * total, {}
+        for k in own:
+            i, t, _ = rows[k]
+            key = str(i) if i is not None else t or ""
+            u = (int(hashlib.md5((seed + key).encode()).hexdigest()[:12], 16) + 0.5) / 2.0**48
+            g = (odds[k] if odds else size[k] / (size[k] + half)) if size[k] else 0
+            if g:
+                steps.setdefault((u / (1 - u) / g, "" if i is None else str(i)), []).append(k)
+        best, upto, words = (want, -math.inf), -1, 0
+        order = sorted(steps)
+        for n, key in enumerate(order):
+            words += sum(size[k] for k in steps[key])
+            if abs(words - want) < best[0]:
+                best, upto = (abs(words - want), key), n
+        taken = {k for key in order[: upto + 1] for k in steps[key]} if want > 0 else set()
+        for k in own:
+            out[k] = (target[s], whole + (k in taken))
+    return out
+
+
+@pytest.mark.parametrize("bins", [4, 1024])
+def test_mixing_against_brute_force(spark, bins):
     rng = random.Random(2)
     rows = [(i, "w " * rng.randint(0, 60), rng.choice(["a", "a", "a", "b", "c", None, "ü"])) for i in range(700)]
-    rows += [(900, None, "a"), (901, "", "b"), (None, "x y", "c"), (None, None, None), (1, rows[1][1], rows[1][2])]
-    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, source string, Taken int")
-    mixed = mixing.mix_sources(docs, bins=bins, few=few)
+    rows += [(900, None, "a"), (901, "", "b"), (None, "x y", "c"), (None, None, None), (1, rows[1][1], rows[1][2]), (902, "w " * 30000, "a")]
+    docs = spark.createDataFrame([(*r, 0, 5, 6, 7) for r in rows], "doc_id long, text string, source string, Taken int, __n int, __u int, __w int")
+    mixed = mixing.mix_sources(docs, bins=bins)
     got = mixed.collect()
-    assert len(got) == len(rows)
-    sizes = Counter()
-    for i, t, s in rows:
-        sizes[s] += len((t or "").split())
-    want = mixing.allocate(list(sizes.items()))
-    taken = Counter()
-    for r in got:
-        assert r.size == len((r.text or "").split()) and r.source_size == sizes[r.source] and r.target == want[r.source]
-        assert r.taken == r.copies * r.size and 0 <= r.copies <= 2
-        taken[r.source] += r.taken
-    assert all(abs(taken[s] - want[s]) <= 60 for s in sizes)
-    again = mixing.mix_sources(docs.repartition(5), bins=1024, few=few).collect()
+    want = brute_mix(rows)
+    assert Counter((r.doc_id, r.text, r.source, r.target, r.copies) for r in got) == Counter((*row, *w) for row, w in zip(rows, want))
+    assert all(r.taken == r.copies * r.size and r.size == len((r.text or "").split()) and (r["__n"], r["__u"], r["__w"]) == (5, 6, 7) for r in got)
+    again = mixing.mix_sources(docs.repartition(5)).collect()
     assert Counter((r.doc_id, r.taken) for r in got) == Counter((r.doc_id, r.taken) for r in again)
     assert mixing.expand_copies(mixed).count() == sum(r.copies for r in got)
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
-def test_weights_tilt_the_sample(spark):
-    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"), F.when(F.col("id") % 2 == 0, 3.0).otherwise(1.0).alias("q"))
-    got = mixing.mix_sources(docs, weights=(1, 4), share=0.5, weight_col="q").where("source = 'b'").groupBy("q").agg(F.avg("copies").alias("c")).collect()
-    rate = {r.q: r.c for r in got}
-    assert 2.2 < rate[3.0] / rate[1.0] < 4
+def test_inclusion_rates(spark):
+    """Over many seeds, documents are taken as often as their odds say."""
+    rng = random.Random(5)
+    odds = [rng.choice([0.2, 1.0, 3.0]) for _ in range(600)]
+    low, high = 0.0, 100.0
+    while high - low > 1e-9:
+        c = (low + high) / 2
+        low, high = (c, high) if sum(c * g / (1 + c * g) for g in odds) < 240 else (low, c)
+    taken, runs = Counter(), 300
+    for k in range(runs):
+        for i, (_, copies) in enumerate(brute_mix([(i, "w", "s") for i in range(600)], share=0.4, seed=f"{k}:", odds=odds)):
+            taken[odds[i]] += copies
+    for g in (0.2, 1.0, 3.0):
+        assert taken[g] / runs / odds.count(g) == pytest.approx(c * g / (1 + c * g), rel=0.03)
+    docs = spark.createDataFrame([(i, "w", "s", g, 0) for i, g in enumerate(odds)], "doc_id long, text string, source string, g double, k int")
+    got = {r.doc_id: r.copies for r in mixing.mix_sources(docs, share=0.4, weight_col="g", seed="3:").collect()}
+    assert [got[i] for i in range(600)] == [k for _, k in brute_mix([(i, "w", "s") for i in range(600)], share=0.4, seed="3:", odds=odds)]
+
+
+def test_many_sources(spark):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), (F.col("id") % 100_003).cast("string").alias("source"))
+    row = mixing.mix_sources(docs).agg(F.count(F.lit(1)).alias("n"), F.sum("taken").alias("taken"), F.max("copies").alias("most")).first()
+    assert row.n == 200_000 and row.most == 2 and 600_000 < row.taken < 1_000_000
 
 
 # ---- queries and pipeline ----

@@ -133,6 +133,14 @@ def test_lines_odd_input(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).count() == 0
 
 
+def test_lines_with_clashing_names_and_of_a_very_long_text(spark):
+    long = "\n".join(f"line number {i} of all these" for i in range(100_000))
+    rows = [(i, long if i < 3 else f"own {i}\nline number 7 of all these", 1, 2, {"k": 3}) for i in range(5)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, __n int, __kept int, _h map<string,int>")).orderBy("doc_id").collect()
+    assert [(r.n_lines, r.n_dropped, r["__n"], r["__kept"], r["_h"]) for r in got] == [(100_000, 100_000, 1, 2, {"k": 3})] * 2 + [(100_000, 1, 1, 2, {"k": 3})] + [(2, 1, 1, 2, {"k": 3}), (2, 0, 1, 2, {"k": 3})]
+    assert got[0].kept_text == "" and got[2].kept_text.count("\n") == 99_998 and got[3].kept_text == "own 3"
+
+
 # ---- near dedup ----
 
 
@@ -250,8 +258,54 @@ def test_contamination_against_brute_force(spark, block):
     got = decontaminate.find_contamination(frame(spark, docs).withColumn("N_hit", F.lit(1)), bench, window=4, block_bytes=block)
     rows = sorted(map(tuple, got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()), key=str)
     assert rows == brute_hits(docs, items, 4)
+    assert {(r.doc_id, r.longest_match, tuple(map(tuple, r.matches))) for r in got.collect()} == brute_matches(docs, items, 4)
     for r in got.collect():
-        assert sum(m.end_word - m.first_word for m in r.matches) == r.n_hit and r.longest_match == max((m.end_word - m.first_word for m in r.matches), default=0)
+        assert sum(m.end_word - m.first_word for m in r.spans) == r.n_hit
+
+
+def brute_matches(docs, items, window=8):
+    """Of each document and item: the longest run of words alike, the first in the document, then in the item."""
+    out = set()
+    parts = [(str(i), w, min(window, len(w))) for i, t in items if i is not None for w in [ALPHA.findall((t or "").translate(LOWER))] if w]
+    for i, text in docs:
+        w = ALPHA.findall((text or "").translate(LOWER))
+        best = {}
+        for item, own, least in parts:
+            for a in range(len(w)):
+                for b in range(len(own)):
+                    n = 0
+                    while a + n < len(w) and b + n < len(own) and w[a + n] == own[b + n]:
+                        n += 1
+                    if n >= least:
+                        best[item] = min(best.get(item, (-n, a, b)), (-n, a, b))
+        out.add((i, max((-n for n, *_ in best.values()), default=0), tuple((k, b, a, -n) for k, (n, a, b) in sorted(best.items()))))
+    return out
+
+
+def test_matches_of_two_items_next_to_each_other_stay_apart(spark):
+    one, two = [f"a{i}" for i in range(20)], [f"b{i}" for i in range(20)]
+    docs = [(1, " ".join(["x", *one[12:], *two[:8], "y"])), (2, " ".join(one[3:19]))]
+    got = decontaminate.find_contamination(frame(spark, docs), frame(spark, [(1, " ".join(one)), (2, " ".join(two))], "item_id long, text string"), min_items=1).orderBy("doc_id").collect()
+    assert [(r.n_hit, r.longest_match) for r in got] == [(16, 8), (16, 16)]
+    assert [list(map(tuple, r.matches)) for r in got] == [[("1", 12, 1, 8), ("2", 0, 9, 8)], [("1", 3, 0, 16)]]
+
+
+@pytest.mark.parametrize("block", [1 << 20, 30])
+def test_contamination_with_clashing_names_and_maps(spark, block):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i", 7, 8, {"k": 1}, 9), (1, "a b c d e f g h i", 7, 8, {"k": 1}, 9)], "doc_id long, text string, m int, _copies int, _n map<string,int>, __row int")
+    bench = frame(spark, [(1, "a b c d e f g h"), (2, "b c d e f g h i j"), (3, "z " * 9)], "item_id long, text string")
+    got = decontaminate.find_contamination(docs, bench, block_bytes=block).collect()
+    assert [(r.m, r["_copies"], r["_n"], r["__row"], r.n_hit, r.n_items) for r in got] == [(7, 8, {"k": 1}, 9, 9, 2)] * 2
+
+
+def test_contamination_of_a_very_long_text_and_a_common_passage(spark, monkeypatch):
+    common = " ".join(f"c{i}" for i in range(12))
+    items = [(i, f"{common} own{i} " + " ".join(f"i{i}w{j}" for j in range(10))) for i in range(40)]
+    long = " ".join(f"w{i}" for i in range(50000)) + f" {common} " + items[7][1]
+    monkeypatch.setattr(decontaminate, "_MOST_PAIRS", 3)
+    got = decontaminate.find_contamination(frame(spark, [(1, long), (2, common)]), frame(spark, items, "item_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.n_words, r.n_items, r.longest_match) for r in got] == [(50035, 40, 23), (12, 40, 12)]
+    assert {(m.item, m.item_word, m.first_word, m.words) for m in got[0].matches} == {(str(i), 0, 50000, 12) if i != 7 else ("7", 0, 50012, 23) for i in range(40)}
 
 
 def test_contamination_of_empty_tables(spark):
@@ -263,9 +317,10 @@ def test_contamination_of_empty_tables(spark):
 
 def test_suffix_array_search():
     h = np.array([5, 3, 5, 3, 9, 5, 3, 1, 1], dtype=np.uint64)
-    at, keys = decontaminate.suffix_array(h, np.arange(7), 3)
-    lo, hi = decontaminate.search(keys, np.array([[5, 3, 5], [5, 3, 9], [7, 7, 7], [9, 5, 3]], dtype=np.uint64))
-    assert [sorted(at[a:b].tolist()) for a, b in zip(lo, hi)] == [[0], [2], [], [4]]
+    suffixes = decontaminate.suffix_array(h, np.arange(7), 3)
+    test = np.array([5, 3, 5, 3, 9, 7, 7, 7, 9, 5, 3], dtype=np.uint64)
+    lo, hi = decontaminate.search(h, suffixes, test, np.array([0, 2, 5, 8]), 3)
+    assert [sorted(suffixes[a:b].tolist()) for a, b in zip(lo, hi)] == [[0], [2], [], [4]]
 
 
 # ---- licenses ----
