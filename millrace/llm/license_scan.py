@@ -1,23 +1,27 @@
-"""License scans: exact set-similarity join of text blocks with license templates.
-
-A text block is a paragraph (words between which fewer than two line feeds stand); a
-paragraph of more than block_words words is covered by overlapping blocks of that length,
-so that a notice of half that length lies whole in one of them. A block meets a template
-if it holds at least `threshold` of the template's distinct tokens.
-
-One pass over all documents counts the templates' tokens. Rarest first is the global
-order. A block that meets a template of m tokens with t = ceil(threshold * m) of them
-must hold one of the template's first m - t + 1 (prefix filter); must hold t tokens of
-any template at all (length filter); and, from the first token that matches, must have
-enough tokens left on both sides (positional filter). What passes is counted in full, so
-the join is exact. Templates are a parameter, at most max_tokens tokens together, and
-travel with the code; documents aren't shuffled.
+"""License scans: exact set-similarity join of text blocks with license notices.
+
+Tokens are pairs of consecutive words, so a block must hold a notice's wording and not
+just its words. A notice of L words is sought in blocks of 2 * S words that begin at every
+S-th word of a text, S being the least power of two (4 or more) that is L or more: any
+stretch as long as the notice lies whole in one of them, however long the notice, and a
+notice that was edited a little does too unless it grew beyond S words. A block meets a
+notice if it holds at least `threshold` of the notice's distinct tokens.
+
+One pass over all documents counts the notices' tokens. Rarest first is the global order.
+A block that meets a notice of m tokens with t = ceil(threshold * m) of them must hold one
+of the notice's first m - t + 1 (prefix filter); must hold t tokens of any notice at all
+(length filter); and, from the first token that matches, must have enough tokens left on
+both sides (positional filter). What passes is counted in full, so the join is exact. The
+notices are a parameter, whole in memory, and travel with the code; documents aren't
+shuffled.
 
 Base labels come from phrases, found wherever their words stand consecutively.
 
-Defined cases: a null or empty text has no words, places or labels and score 0; repeated
-rows are judged alike; empty tables give no rows. Extra columns are carried; columns
-named like an output are replaced.
+Defined cases: a null or empty text has no words, places or labels and score 0; a notice
+of one word has no token and meets nothing; very long texts are scanned whole; notices
+that a block meets equally well all give their labels; repeated rows are judged alike;
+empty tables give no rows. Extra columns are carried, whatever their names; columns named
+like an output are replaced.
 """
 
 from __future__ import annotations
@@ -33,24 +37,12 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, without
 from .decontaminate import _among, _portions
-from .words import ALNUM, Words
+from .licenses import NOTICES
+from .words import ALNUM, Words, windows
 
 #: Phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: Notices in common use, with the labels that this method adds.
-TEMPLATES = (
-    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "mit"),
-    ("released under the mit license", "mit"),
-    ("licensed under the apache license version 2 0", "apache-2.0"),
-    ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
-    ("this work is licensed under the gnu general public license version 3", "gpl-3.0"),
-    ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc-4.0"),
-    ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by-4.0"),
-    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
-)
-
 _OUT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
@@ -58,11 +50,22 @@ def _hash_words(text: str) -> np.ndarray:
     return Words(pa.array([text], pa.string()), ALNUM, lower=True).hashes
 
 
+def _tokens(h: np.ndarray) -> np.ndarray:
+    """Hashes of all pairs of neighbours, by first word."""
+    return windows(h, 2, 9)
+
+
+def step_of(words: int) -> int:
+    """How far apart blocks for a notice of so many words begin; they are twice as long."""
+    return max(4, 1 << (words - 1).bit_length())
+
+
 class _Templates:
-    """Templates as sets of token numbers in the global order."""
+    """Notices as sets of token numbers in the global order."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...], counts: dict[int, int], threshold: float):
-        sets = [set(_hash_words(text).tolist()) for text, _ in templates]
+        words = [_hash_words(text) for text, _ in templates]
+        sets = [set(_tokens(h).tolist()) for h in words]
         order = sorted(set().union(*sets), key=lambda h: (counts.get(h, 0), h)) if sets else []
         rank = {h: i for i, h in enumerate(order)}
         self.known = np.array(sorted(order), dtype=np.uint64)
@@ -70,19 +73,22 @@ class _Templates:
         self.labels = [label for _, label in templates]
         self.tokens = [sorted(rank[h] for h in s) for s in sets]
         self.need = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in sets]
-        self.index: dict[int, list[tuple[int, int]]] = {}
-        for n, (tokens, need) in enumerate(zip(self.tokens, self.need)):
-            for i, token in enumerate(tokens[: len(tokens) - need + 1]):
-                self.index.setdefault(token, []).append((n, i))
-        self.least = min(self.need, default=0)
-
-    def matches(self, block: list[int]) -> dict[int, float]:
-        """Templates that this block (sorted distinct token numbers) meets, with their containment."""
+        # By step: the prefix index of the notices sought in blocks of that size, and the least tokens that any needs.
+        self.kinds: dict[int, tuple[dict[int, list[tuple[int, int]]], int]] = {}
+        for n, (h, tokens, need) in enumerate(zip(words, self.tokens, self.need)):
+            if tokens:
+                index, least = self.kinds.get(step_of(len(h)), ({}, need))
+                for i, token in enumerate(tokens[: len(tokens) - need + 1]):
+                    index.setdefault(token, []).append((n, i))
+                self.kinds[step_of(len(h))] = index, min(least, need)
+
+    def matches(self, index: dict[int, list[tuple[int, int]]], block: list[int]) -> dict[int, float]:
+        """Notices of the index that this block (sorted distinct token numbers) meets, with their containment."""
         out: dict[int, float] = {}
         seen: set[int] = set()
         own = set(block)
         for j, token in enumerate(block):
-            for n, i in self.index.get(token, ()):
+            for n, i in index.get(token, ()):
                 if n in seen:
                     continue
                 seen.add(n)
@@ -96,15 +102,15 @@ class _Templates:
 
 
 def token_counts(docs: DataFrame, known: np.ndarray, text_col: str = "text") -> dict[int, int]:
-    """How often each template token occurs in all texts."""
+    """How often each notice's token occurs in all texts; one row for each."""
     schema = "t long, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(known), np.int64)
         for batch in batches:
             for part in _portions(batch, 0):
-                h = Words(part.column(0), ALNUM, lower=True).hashes
-                total += np.bincount(np.searchsorted(known, h[_among(h, known)]), minlength=len(known))
+                tokens, at = _places_of(Words(part.column(0), ALNUM, lower=True), known)
+                total += np.bincount(np.searchsorted(known, tokens[at]), minlength=len(known))
         yield pa.RecordBatch.from_arrays([pa.array(known.astype(np.int64)), pa.array(total)], names=["t", "n"])
 
     if not len(known):
@@ -113,47 +119,27 @@ def token_counts(docs: DataFrame, known: np.ndarray, text_col: str = "text") ->
     return {r.t & 0xFFFFFFFFFFFFFFFF: r.n for r in rows}
 
 
-def _block_keys(words: Words, at: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For words at these places: indices into at, and the number of a block that the word is in (one or two each)."""
-    feeds = np.flatnonzero(words.buf == 10)
-    n = len(words)
-    parted = np.zeros(n, dtype=bool)
-    parted[words.first[:-1][words.counts > 0]] = True
-    if n > 1:
-        gap = np.searchsorted(feeds, words.starts[1:]) - np.searchsorted(feeds, words.ends[:-1])
-        parted[1:] |= gap >= 2
-    begin = np.flatnonzero(parted)
-    paragraph = np.cumsum(parted) - 1
-    lengths = np.diff(np.append(begin, n))
-    stride = block_words // 2
-    # Blocks of a paragraph begin at every stride; the last begins where what is left fits.
-    blocks = np.maximum(1, -(-(lengths - block_words) // stride) + 1)
-    base = np.concatenate(([0], np.cumsum(blocks)[:-1])) if len(blocks) else np.zeros(0, np.int64)
-    p = paragraph[at]
-    k = (at - begin[p]) // stride
-    late = np.minimum(k, blocks[p] - 1)
-    both = np.flatnonzero((k >= 1) & (k - 1 < late))
-    return np.concatenate((np.arange(len(at)), both)), np.concatenate((base[p] + late, (base[p] + k - 1)[both]))
+def _places_of(words: Words, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens, and the places of the known ones; a token doesn't go over a text's end."""
+    tokens = _tokens(words.hashes)
+    at = _among(tokens, known)
+    return tokens, at[at + 2 <= words.stop[at]]
 
 
 def scan_licenses(
     docs: DataFrame,
     phrases: tuple[tuple[str, str], ...] = PHRASES,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    templates: tuple[tuple[str, str], ...] = NOTICES,
     threshold: float = 0.8,
-    block_words: int = 400,
     text_col: str = "text",
-    max_tokens: int = 100_000,
 ) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
-    score: 1 with a base phrase, else the largest containment of a template that is met, else 0.
+    score: 1 with a base phrase, else the largest containment of a notice that is met, else 0.
     """
     bounded_batches(docs.sparkSession)
     docs = without(docs, *[f.name for f in T._parse_datatype_string(_OUT).fields])
     known = _Templates(templates, {}, threshold).known
-    if len(known) > max_tokens:
-        raise ValueError(f"templates of more than {max_tokens} tokens")
     held = _Templates(templates, token_counts(docs, known, text_col), threshold)
     sought = [(_hash_words(text), label) for text, label in phrases]
     at_text = docs.columns.index(text_col)
@@ -173,7 +159,7 @@ def scan_licenses(
                         base[i].add(label)
                 score = [1.0 if n else 0.0 for n in n_base]
                 labels = [set(x) for x in base]
-                for i, n, containment in _joined(words, held, block_words):
+                for i, n, containment in _joined(words, held):
                     labels[i].add(held.labels[n])
                     score[i] = max(score[i], containment)
                 joined = lambda xs: pa.array([",".join(sorted(x)) for x in xs], pa.string())
@@ -194,25 +180,30 @@ def _places(words: Words, phrase: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(text.tolist(), (at - words.first[text]).tolist())
 
 
-def _joined(words: Words, held: _Templates, block_words: int) -> Iterator[tuple[int, int, float]]:
-    """(text, template, containment) for every block and template that it meets."""
-    if not held.tokens or not len(words):
+def _joined(words: Words, held: _Templates) -> Iterator[tuple[int, int, float]]:
+    """(text, notice, containment) for every block and notice that it meets."""
+    if not held.kinds or not len(words):
         return
-    at = _among(words.hashes, held.known)
-    token = held.rank[np.searchsorted(held.known, words.hashes[at])]
-    which, block = _block_keys(words, at, block_words)
-    # Distinct (block, token), in order; then only blocks with enough tokens of any template and one of a prefix.
-    size = len(held.known)
-    pairs = np.unique(block * size + token[which])
-    block_of, token_of = pairs // size, pairs % size
-    prefix = np.zeros(size, dtype=bool)
-    prefix[list(held.index)] = True
-    starts = np.flatnonzero(np.diff(block_of, prepend=-1))
-    stops = np.append(starts[1:], len(pairs))
-    if not len(starts):
-        return
-    go = (stops - starts >= held.least) & np.logical_or.reduceat(prefix[token_of], starts)
-    text_of = dict(zip(block.tolist(), (np.searchsorted(words.first, at[which], side="right") - 1).tolist()))
-    for a, b in zip(starts[go].tolist(), stops[go].tolist()):
-        for n, containment in held.matches(token_of[a:b].tolist()).items():
-            yield text_of[int(block_of[a])], n, containment
+    tokens, at = _places_of(words, held.known)
+    token = held.rank[np.searchsorted(held.known, tokens[at])]
+    text = np.searchsorted(words.first, at, side="right") - 1
+    place, size = at - words.first[text], len(held.known)
+    for step, (index, least) in held.kinds.items():
+        # Block k has the words from k * step on; a token is in the block that it begins in and, but for the last place of a step, in the one before.
+        k = place // step
+        both = np.flatnonzero((k > 0) & (place % step < step - 1))
+        blocks = np.concatenate((k, k[both] - 1)) + (np.concatenate((text, text[both])) << 32)
+        blocks, number = np.unique(blocks, return_inverse=True)
+        # Distinct (block, token), in order; then only blocks with enough tokens of any notice and one of a prefix.
+        pairs = np.unique(number * size + np.concatenate((token, token[both])))
+        block_of, token_of = pairs // size, pairs % size
+        prefix = np.zeros(size, dtype=bool)
+        prefix[list(index)] = True
+        starts = np.flatnonzero(np.diff(block_of, prepend=-1))
+        stops = np.append(starts[1:], len(pairs))
+        if not len(starts):
+            continue
+        go = (stops - starts >= least) & np.logical_or.reduceat(prefix[token_of], starts)
+        for a, b in zip(starts[go].tolist(), stops[go].tolist()):
+            for n, containment in held.matches(index, token_of[a:b].tolist()).items():
+                yield int(blocks[block_of[a]]) >> 32, n, containment

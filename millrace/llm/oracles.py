@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .license_scan import PHRASES, TEMPLATES
+import re
+
+from .license_scan import PHRASES, step_of
+from .licenses import NOTICES
 
 _WS = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -85,8 +88,8 @@ SELECT d.doc_id, CAST(len(d.l) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
-def _op4(block: int = 400, threshold: float = 0.8) -> str:
-    """Blocks, templates and phrases of license_scan with its defaults."""
+def _op4(threshold: float = 0.8) -> str:
+    """Blocks, notices and phrases of license_scan with its defaults."""
     low = f"translate(coalesce(text, ''), '{_UP}', '{_LOW}')"
     at = lambda phrase: " AND ".join(f"l[i + {k}] = '{w}'" if k else f"l[i] = '{w}'" for k, w in enumerate(phrase.split()))
     places = ", ".join(f"list_filter(range(1, len(l) + 1), lambda i: {at(p)}) AS p{n}" for n, (p, _) in enumerate(PHRASES))
@@ -95,27 +98,28 @@ def _op4(block: int = 400, threshold: float = 0.8) -> str:
     for n in range(1, len(PHRASES)):
         every = f"list_concat({every}, p{n})"
     rows = []
-    for text, label in TEMPLATES:
-        tokens = list(dict.fromkeys(text.split()))
+    for text, label in NOTICES:
+        words = re.findall(r"[a-z0-9]+", text.lower())
+        tokens = list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
         need = next(k for k in range(1, len(tokens) + 1) if k >= threshold * len(tokens) - 1e-9)
-        rows.append(f"('{label}', [{', '.join(map(repr, tokens))}], {need})")
+        rows.append(f"('{label}', {step_of(len(words))}, [{', '.join(map(repr, tokens))}], {need})")
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all({low}, '{_ALNUM}') AS l, string_split_regex({low}, '\n[^0-9A-Za-z\x{{80}}-\x{{10FFFF}}]*\n') AS paragraphs FROM documents
+  SELECT doc_id, regexp_extract_all({low}, '{_ALNUM}') AS l FROM documents
 ), phrase AS (
   SELECT doc_id, l, {places} FROM d
 ), based AS (
   SELECT doc_id, len(l) AS n_words, {every} AS places, list_filter({base}, lambda x: x IS NOT NULL) AS base FROM phrase
-), paragraph AS (
-  SELECT doc_id, regexp_extract_all(p, '{_ALNUM}') AS w FROM (SELECT doc_id, unnest(paragraphs) AS p FROM d)
-), block AS (
-  SELECT doc_id, list_distinct(list_slice(w, s * {block // 2} + 1, s * {block // 2} + {block})) AS b
-  FROM (SELECT doc_id, w, unnest(range(0, CAST(greatest(1, ceil((len(w) - {block}) / {block // 2}.0) + 1) AS BIGINT))) AS s FROM paragraph WHERE len(w) > 0)
-), template(label, tokens, need) AS (
+), template(label, step, tokens, need) AS (
   VALUES {", ".join(rows)}
+), block AS (
+  SELECT doc_id, step, list_distinct({pairs}) AS b
+  FROM (SELECT doc_id, step, list_slice(l, k + 1, k + 2 * step) AS w
+        FROM (SELECT doc_id, l, step, unnest(range(0, len(l), step)) AS k FROM d, (SELECT DISTINCT step FROM template) s))
 ), met AS (
   SELECT doc_id, label, max(c / CAST(m AS DOUBLE)) AS containment
-  FROM (SELECT doc_id, label, need, len(list_intersect(b, tokens)) AS c, len(tokens) AS m FROM block, template) WHERE c >= need GROUP BY doc_id, label
+  FROM (SELECT doc_id, label, need, len(list_intersect(b, tokens)) AS c, len(tokens) AS m FROM block JOIN template USING (step)) WHERE c >= need GROUP BY doc_id, label
 ), own AS (
   SELECT doc_id, list(label) AS found, max(containment) AS score FROM met GROUP BY doc_id
 )

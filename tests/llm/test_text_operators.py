@@ -338,13 +338,15 @@ def brute_licenses(text, threshold=0.8):
             if only[k : k + len(p)] == p:
                 places.append(k)
                 base.add(label)
-    for paragraph in re.split(r"\n[^0-9A-Za-z\x80-\U0010ffff]*\n", text or ""):
-        block = set(ALPHA.findall(paragraph.translate(LOWER)))
-        for template, label in TEMPLATES:
-            t = set(template.split())
-            if len(t & block) / len(t) >= threshold:
+    for template, label in TEMPLATES:
+        t = template.split()
+        step, grams = license_scan.step_of(len(t)), set(zip(t, t[1:]))
+        for k in range(0, len(only), step):
+            block = only[k : k + 2 * step]
+            held = len(grams & set(zip(block, block[1:]))) / len(grams)
+            if held >= threshold:
                 labels.add(label)
-                score = max(score, len(t & block) / len(t))
+                score = max(score, held)
     return (len(only), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), 1.0 if places else score)
 
 
@@ -362,12 +364,37 @@ def test_licenses_against_brute_force(spark):
     assert license_scan.scan_licenses(frame(spark, [])).count() == 0
 
 
-def test_license_in_a_long_paragraph(spark):
-    notice = "Alpha beta gamma delta epsilon"
-    words = [f"w{i}" for i in range(500)]
-    apart = words.copy()
-    for k, w in enumerate(notice.split()):
-        apart[k * 110] = w
-    texts = [" ".join(words[:k] + [notice] + words[k:]) for k in (0, 95, 199, 250, 500)] + [" ".join(apart)]
-    got = license_scan.scan_licenses(frame(spark, list(enumerate(texts))), templates=TEMPLATES[:1], block_words=100).orderBy("doc_id").collect()
-    assert [r.labels for r in got] == ["greek"] * 5 + [""]
+def edited(words, rate, rng):
+    out = []
+    for w in words:
+        out += [] if rng.random() < rate / 2 else [w, "inserted"] if rng.random() < rate / 2 else [w]
+    return out
+
+
+def test_notices_are_found_and_prose_is_not(spark):
+    """Every notice, whole or edited a little, at any place of a text; prose of the notices' own words has no label."""
+    rng = random.Random(8)
+    notices = license_scan.NOTICES
+    vocabulary = sorted({w for text, _ in notices for w in ALPHA.findall(text.lower())})
+    prose = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    rows = []
+    for text, label in notices:
+        words = ALPHA.findall(text.translate(LOWER))
+        for rate in (0, 0, 0.05 if len(words) > 60 else 0):
+            rows.append((len(rows), " ".join([*prose(rng.randrange(300)), *edited(words, rate, rng), *prose(200)]), label))
+    rows += [(len(rows) + i, " ".join(prose(2000)), "") for i in range(60)]
+    rows.append((len(rows), "The prisoners were released on Monday under a new rule; the driver lost the license he had.", ""))
+    rows.append((len(rows), "Our shop is licensed. Delivery by car under section 4, see 0 and cc list.", ""))
+    got = {r.doc_id: r for r in license_scan.scan_licenses(frame(spark, [r[:2] for r in rows])).collect()}
+    for i, text, label in rows:
+        assert label in got[i].labels.split(",") if label else not set(got[i].labels.split(",")) - set(got[i].base_labels.split(",")), (text[:80], label, got[i].labels)
+        assert label or got[i].score in (0.0, 1.0)
+
+
+def test_long_notices_and_long_texts(spark):
+    rng = random.Random(9)
+    notice = " ".join(f"n{rng.randrange(10**6)}" for _ in range(1000))
+    words = [f"w{i}" for i in range(50_000)]
+    texts = [notice, " ".join(words[:777] + [notice] + words[777:]), " ".join(words), " ".join(notice.split()[:700])]
+    got = license_scan.scan_licenses(frame(spark, list(enumerate(texts))), templates=((notice, "long"), ("one", "word"))).orderBy("doc_id").collect()
+    assert [(r.labels, r.score) for r in got] == [("long", 1.0), ("long", 1.0), ("", 0.0), ("", 0.0)]
