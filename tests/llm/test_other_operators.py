@@ -169,6 +169,33 @@ def test_vectors_against_brute_force(spark):
     assert all(s == true[q, i] for q, v in got.items() for _, i, s in v)
 
 
+def test_recall_without_clusters(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, x.tolist()) for i, x in enumerate(rng.standard_normal((3000, 32)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    x = np.array([v for _, v in rows], dtype=np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = vector_search.nearest(df, F.col("vec_id") % 20 == 0, k=10).collect()
+    hits = 0
+    for q in range(0, 3000, 20):
+        near = np.argsort(-(x @ x[q]), kind="stable")
+        hits += len(set(near[near != q][:10].tolist()) & {r.vec_id for r in got if r.query_id == q})
+    assert len(got) == 1500 and hits >= 0.9 * 1500
+
+
+def test_very_large_and_very_small_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1e200, -1e200]), (2, [1e-200, 1e-201]), (3, [-5e-324, 0.0]), (20, [1e300, 1e300])]
+    got = vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(0, 2), (0, 1), (0, 20), (0, 3), (20, 2), (20, 0), (20, 1), (20, 3)]
+    assert [r.score for r in got] == pytest.approx([0.99503719, 0.70710678, 0.70710678, -1, 0.77395730, 0.70710678, 0, -0.70710678], abs=1e-6)
+
+
+def test_an_id_with_several_vectors_counts_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [-1.0, 1.0]), (1, [0.0, -1.0])]
+    got = vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.rank, r.vec_id) for r in got] == [(1, 1), (2, 2)]
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id) for r in vector_search.nearest(df, F.col("vec_id") == 0).collect()] == [(0, 1, 1)]
