@@ -11,13 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, language_id, mixing, near_dedup, sharding
-from millrace.llm.common import materialise, table
+from millrace.llm.common import apart, materialise, table, temporary
+
+
+#: A document is rejected if its language is less likely than all others together.
+MIN_LANGUAGE_SCORE = 0.5
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter (or without text) go, and no others, even where no language could be learned."""
+    """Documents without a letter (or without text) go, and those whose best language has a score below
+    MIN_LANGUAGE_SCORE: no language is theirs. Where no language could be learned, letters alone decide."""
     found = language_id.identify(docs)
-    return found.where((F.col("lang_pred") != language_id.UNKNOWN) | F.col("text").rlike(r"\p{L}")).select(*docs.columns)
+    known = F.col("lang_pred") != language_id.UNKNOWN
+    return found.where(F.when(known, F.col("score") >= MIN_LANGUAGE_SCORE).otherwise(F.col("text").rlike(r"\p{L}"))).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,11 +31,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows are numbered for it, so those without id or with a repeated one are judged like others.
     """
-    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = near_dedup.near_duplicates(rows, shingle_words=5, percent=80, id_col="__row").select("__row", "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "__row")
-    stay = rows.select("__row", "doc_id").join(found, "__row").groupBy("component_id").agg(F.min(order).alias("m"))
-    return rows.join(stay.select("m.__row"), "__row", "left_semi").select(*docs.columns)
+    row = apart(docs, "__row")[0]
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "rows", keep=True)
+    found = near_dedup.near_duplicates(rows, shingle_words=5, percent=80, id_col=row).select(row, "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", row)
+    stay = rows.select(row, "doc_id").join(found, row).groupBy("component_id").agg(F.min(order).alias("m"))
+    return rows.join(stay.select(f"m.{row}"), row, "left_semi").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +68,7 @@ STAGES = [
     ("sharding", deal_into_shards),
 ]
 
-#: Language models, min-hashing and seeded shuffles aren't SQL; tests hold every stage against brute force.
+#: Language models, min-hashing and seeded shuffles aren't SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
@@ -69,5 +76,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        with temporary(spark):  # what the stage wrote on its way goes once its result is written
+            kept = materialise(stage(spark, docs, sf_dir), name, keep=True)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

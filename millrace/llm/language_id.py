@@ -2,14 +2,16 @@
 
 Training counts n-grams of whole texts for each language. It reads a hash sample of about
 max_rows_per_language labelled rows (the documented bound; priors count all labelled
-rows). The model is a matrix of log-probabilities, features x languages, at most
-features * max_languages floats, and is broadcast. Prediction gathers the rows of the
+rows). The model is a matrix of log-probabilities, features x languages, of at most
+max_cells numbers, and is broadcast: up to 256 languages it has all `features` hash
+buckets, with more languages fewer buckets (never fewer than 1,024), so any number of
+labels can be learned. Counts come to the driver as one packed row a language. Prediction gathers the rows of the
 n-grams that a text has and sums them by text, in numpy, in pieces of bounded length
 however long a text is. Only the text decides.
 
 Defined cases: a null text or one without a letter is "und" with score 0, as is every
 text when there is nothing to learn from; ties go to the smallest label by code point;
-rows without label aren't learned from; repeated rows are judged alike. Extra columns are
+rows without label aren't learned from; very long texts are read in pieces; repeated rows are judged alike. Extra columns are
 carried; columns named like an output are replaced.
 """
 
@@ -74,18 +76,18 @@ def _features(points: np.ndarray, starts: np.ndarray, orders: tuple[int, ...], f
         yield (mix(h) % U64(features)).astype(np.int64)[inside], own[inside]
 
 
-def train(labelled: DataFrame, orders: tuple[int, ...] = (2, 3), features: int = 1 << 16, max_rows_per_language: int = 4000, max_languages: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", alpha: float = 0.1) -> tuple[list[str], np.ndarray, np.ndarray]:
+def train(labelled: DataFrame, orders: tuple[int, ...] = (2, 3), features: int = 1 << 16, max_rows_per_language: int = 4000, max_cells: int = 1 << 24, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", alpha: float = 0.1) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log priors, log-probabilities as features x languages)."""
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l")).where("l is not null and t is not null")
-    totals = dict(rows.groupBy("l").count().limit(max_languages + 1).collect())
-    if len(totals) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    totals = dict(rows.groupBy("l").count().collect())
     if not totals:
         return [], np.zeros(0), np.zeros((features, 0), np.float32)
-    share = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, max_rows_per_language / n))])
+    while features > 1024 and features * len(totals) > max_cells:
+        features //= 2
     draw = F.pmod(F.xxhash64(F.lit("train"), "i", "t"), F.lit(1_000_003)) / 1_000_003  # ids can be missing or repeated
-    sample = rows.where(draw < F.element_at(share, F.col("l"))).select("l", "t")
+    shares = rows.sparkSession.createDataFrame([(k, min(1.0, max_rows_per_language / n)) for k, n in totals.items()], "l string, share double")
+    sample = rows.join(F.broadcast(shares), "l").where(draw < F.col("share")).select("l", "t")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -106,16 +108,22 @@ def train(labelled: DataFrame, orders: tuple[int, ...] = (2, 3), features: int =
     langs = sorted(totals)
     place = {x: i for i, x in enumerate(langs)}
     counts = np.zeros((features, len(langs)))
-    for r in _by_language(sample.mapInArrow(count, "l string, f int, n long")):
-        counts[r[1], place[r[0]]] = r[2]
+    for lang, packed in _packed(sample.mapInArrow(count, "l string, f int, n long"), features).toLocalIterator():
+        counts[:, place[lang]] = np.frombuffer(packed, dtype=np.int64)
     prob = (counts + alpha) / (counts.sum(axis=0) + alpha * features)
     prior = np.log(np.array([totals[x] for x in langs], float) / sum(totals.values()))
     return langs, prior, np.log(prob).astype(np.float32)
 
 
-def _by_language(counted: DataFrame) -> list:
-    """At most features * languages rows, whatever the corpus."""
-    return counted.groupBy("l", "f").agg(F.sum("n").alias("n")).collect()
+def _packed(counted: DataFrame, features: int) -> DataFrame:
+    """One row a language: its counts of all features as bytes. A group has at most `features` rows."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        own = np.zeros(features, np.int64)
+        own[rows.column("f").to_numpy()] = rows.column("n").to_numpy()
+        return pa.table({"l": rows.column("l")[:1], "packed": pa.array([own.tobytes()], pa.binary())})
+
+    return counted.groupBy("l", "f").agg(F.sum("n").alias("n")).groupBy("l").applyInArrow(pack, "l string, packed binary")
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], orders: tuple[int, ...] = (2, 3), text_col: str = "text") -> DataFrame:

@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import language_id, mixing, oracles, queries, sharding, url_filters, vector_search
+from millrace.llm import common, language_id, mixing, oracles, queries, sharding, url_filters, vector_search
+from millrace.llm.words import mix
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables aren't here")
@@ -48,6 +49,10 @@ def test_url_rules(spark, indexed):
     rows = [(r.page_id, r.url, r.host, r.path, r.rule, r.verdict) for r in got.collect()]
     assert Counter(rows) == Counter(URLS)
     assert url_filters.filter_urls(pages.limit(0), RULES, max_indexed=indexed).count() == 0
+    clash = pages.limit(1).selectExpr("*", "1 AS __place", "2 AS __rule", "3 AS __hits", "4 AS __pattern", "5 AS __url")
+    assert [tuple(r)[2:7] for r in url_filters.filter_urls(clash, RULES, max_indexed=indexed).collect()] == [(1, 2, 3, 4, 5)]
+    long = spark.createDataFrame([(1, "http://a.com/en/" + "x/y-" * 50000)], "page_id long, url string")
+    assert [(r.rule, len(r.path)) for r in url_filters.filter_urls(long, RULES, max_indexed=indexed).collect()] == [("com/en/", 200_004)]
     assert [r.verdict for r in url_filters.filter_urls(pages.limit(1), []).collect()] == ["allow"]
 
 
@@ -82,6 +87,63 @@ def test_language_of_held_out_texts(spark):
     assert (by[903].lang_pred, by[None].lang_pred, by[904].lang_pred) == ("aa", "bb", "bb")
 
 
+def brute_posteriors(rows, features=1 << 16, alpha=0.1):
+    """Plain naive Bayes over hashed n-grams: (label, posterior) of each text."""
+
+    def grams(text):
+        low, out = f" {text.lower()} ", []
+        for k in (2, 3):
+            for at in range(len(low) - k + 1):
+                h = k
+                for c in low[at : at + k]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c)) % 2**64
+                out.append(int(mix(np.array([h], dtype=np.uint64))[0]) % features)
+        return out
+
+    counts, docs = {}, Counter()
+    for i, t, lang in rows:
+        if lang is not None and t is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(lang, Counter()).update(grams(t))
+            docs[lang] += 1
+    out = []
+    for _, t, _ in rows:
+        if not any(c.isalpha() for c in t or ""):
+            out.append(("und", 0.0))
+            continue
+        logs = {}
+        for lang in sorted(counts):
+            total = sum(counts[lang].values()) + alpha * features
+            logs[lang] = math.log(docs[lang] / sum(docs.values())) + sum(math.log((counts[lang][g] + alpha) / total) for g in grams(t))
+        best = max(logs, key=lambda x: (logs[x], [-ord(c) for c in x]))
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())))
+    return out
+
+
+def test_posteriors_against_brute_force(spark):
+    rng = random.Random(6)
+    words = {"aa": "the of and thing".split(), "bb": "the of and thong".split(), "cc": "the of og thing".split()}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(rng.randint(1, 2))), lang) for i, lang in enumerate(rng.choice(["aa", "bb", "bb", "cc"]) for _ in range(120))]
+    rows += [(500, "of", "aa"), (501, "zzz", None), (502, "... 7", "aa"), (503, None, "bb")]
+    got = {r.doc_id: r for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    want = brute_posteriors(rows)
+    assert 10 < sum(0.34 < p < 0.95 for _, p in want)
+    for (i, _, _), (label, p) in zip(rows, want):
+        assert got[i].lang_pred == label and got[i].score == pytest.approx(p, abs=1e-4), (rows[i], got[i])
+
+
+def test_ties_go_to_the_smallest_label(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:4]
+    docs = spark.createDataFrame([(i, "same words", lang) for i, lang in zip(ids, ("b", "a", "b", "a"))], "doc_id long, text string, lang string")
+    assert [(r.lang_pred, r.score) for r in language_id.identify(docs).collect()] == [("a", 0.5)] * 4
+
+
+def test_any_number_of_labels(spark):
+    ids = [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 != 2][:300]
+    docs = spark.createDataFrame([(i, f"word{i} " * 20, f"l{i}") for i in ids], "doc_id long, text string, lang string")
+    got = language_id.identify(docs, max_cells=300 * 4096).collect()
+    assert sum(r.lang_pred == r.lang for r in got) > 290
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in language_id.identify(docs).collect()] == [("und", 0.0)]
@@ -127,6 +189,42 @@ def test_shards(spark, bucket):
     assert sharding.shard_records(docs.limit(0)).count() == 0
 
 
+def brute_shuffle(rows, shards, seed, buckets):
+    """A plain two-pass shuffle of (hash, record): scatter, Fisher-Yates in each bucket, deal in order."""
+    scattered = [[] for _ in range(buckets)]
+    for h, record in rows:
+        scattered[(h >> 16) % buckets].append((h, record))
+    order = []
+    for b, bucket in enumerate(scattered):
+        bucket = [record for _, record in sorted(bucket)]
+        places = np.arange(len(bucket))
+        np.random.default_rng([seed, b]).shuffle(places)
+        order += [bucket[p] for p in places]
+    return {record: (k % shards, k // shards) for k, record in enumerate(order)}
+
+
+@pytest.mark.parametrize("bucket", [500, 1 << 20])
+def test_shards_against_a_plain_two_pass_shuffle(spark, bucket):
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 5)) for i in range(200)], "doc_id long, text string")
+    hashed = docs.select(F.xxhash64(F.lit(7), "doc_id", "text").alias("h"), "doc_id").collect()
+    size = sum(len(f"text {i} " * (i % 5)) for i in range(200)) + 64 * 200
+    want = brute_shuffle([(r.h, r.doc_id) for r in hashed], 16, 7, -(-size // bucket))
+    assert {r.doc_id: (r.shard, r.slot) for r in sharding.shard_records(docs, shards=16, bucket_bytes=bucket).collect()} == want
+
+
+def test_shards_with_clashing_names_and_maps(spark):
+    docs = spark.createDataFrame([(i, "t", 1, 2, {"k": i}) for i in range(20)], "doc_id long, text string, __bucket int, __spread int, m map<string,int>")
+    got = sharding.shard_records(docs, shards=4).collect()
+    assert all((r["__bucket"], r["__spread"], r.m) == (1, 2, {"k": r.doc_id}) for r in got) and Counter(r.shard for r in got) == {s: 5 for s in range(4)}
+
+
+def test_temporary_tables_go(spark):
+    with common.temporary(spark):
+        gone = common.materialise(spark.range(3), "gone").inputFiles()[0]
+        kept = common.materialise(spark.range(3), "kept", keep=True)
+    assert kept.count() == 3 and not os.path.exists(gone.removeprefix("file://"))
+
+
 def test_written_shards(spark, tmp_path):
     docs = spark.range(100).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
     sharding.write_shards(docs, str(tmp_path / "out"), shards=4)
@@ -368,11 +466,17 @@ def test_pipeline_stages_against_brute_force(spark):
     assert clean.columns == columns and sorted(r.doc_id for r in clean.collect()) == sorted(i for i, _, _, n, *_ in brute_hits(rows, items, 8) if not n)
 
     mixed = stage["mixing"](spark, clean, SF).cache()
-    words = Counter(r.doc_id for r in mixed.collect())
-    assert mixed.columns == columns and set(words.values()) <= {1, 2}
+    rows = [(r.doc_id, r.text, r.source) for r in clean.collect()]
+    words = Counter({r[0]: copies for r, (_, copies) in zip(rows, brute_mix(rows)) if copies})
+    assert mixed.columns == columns and Counter(r.doc_id for r in mixed.collect()) == words and set(words.values()) == {1, 2}
 
-    sharded = stage["sharding"](spark, mixed, SF).collect()
-    assert Counter(r.doc_id for r in sharded) == words and {r.shard for r in sharded} == set(range(16))
+    sharded = stage["sharding"](spark, mixed, SF)
+    hashed = mixed.select(F.xxhash64(F.lit(7), *columns).alias("h"), "doc_id").collect()
+    order = sorted((r.h, r.doc_id) for r in hashed)
+    places = np.arange(len(order))
+    np.random.default_rng([7, 0]).shuffle(places)  # one bucket at this size
+    want = Counter((order[p][1], k % 16, k // 16) for k, p in enumerate(places))
+    assert Counter((r.doc_id, r.shard, r.slot) for r in sharded.collect()) == want
 
 
 def test_near_dedup_stage_on_missing_and_repeated_ids(spark):
@@ -383,8 +487,21 @@ def test_near_dedup_stage_on_missing_and_repeated_ids(spark):
     assert found == Counter({(1, "one"): 1, (None, "w0 "): 1, (7, "a b"): 1, (7, "g h"): 1, (None, None): 1})
 
 
-def test_language_stage_goes_by_letters_alone(spark):
+def test_language_stage_rejects_what_is_no_language(spark):
     for lang in (None, "und"):
         rows = [(1, "text", lang), (2, "12 !", lang), (3, None, lang), (4, "= é 7", lang), (5, "", lang)]
         kept = corpus_pipeline.detect_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), SF).collect()
         assert sorted(r.doc_id for r in kept) == [1, 4]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate((t, lang) for lang in ("aa", "bb", "cc") for t in texts_of(lang, 60, lang))]
+    docs = spark.createDataFrame([*rows, (999, "x", None), (1000, "the thing", None)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.detect_language(spark, docs, SF).collect()}
+    scores = {r.doc_id: r.score for r in language_id.identify(docs).collect()}
+    assert scores[999] < 0.5 and kept == set(scores) - {999}
+
+
+def test_decontamination_stage_and_short_items(spark, tmp_path):
+    bench = spark.createDataFrame([(1, "capital of france"), (2, "a b c d e f g h i j")], "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, "Capital of France?"), (2, "The capital of France is a very large city"), (3, "b c d e f g h i"), (4, "b c d e f g h"), (5, None)]
+    kept = corpus_pipeline.drop_benchmark_passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == [2, 4, 5]
