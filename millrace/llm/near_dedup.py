@@ -25,10 +25,10 @@ outside the region's largest component meets that whole component, once however
 regions they share: its members are dealt into blocks of `block`, signatures whose
 agreement is more than four standard deviations below the threshold are passed over, and
 the others' sets are compared in place, the likeliest first, until their components are
-joined; only links leave the task. Those outside meet each other by signatures too: up to
-`crowd` of a region as pairs that are confirmed later, more than that block by block and
-in place as well. So all that share `base` values are compared whatever a region's size,
-in bounded tasks, whose number grows with the square of those outside.
+joined; only the links that joined them leave the task. Those outside meet each other in
+the same way, block by block. So all that share `base` values are compared, alike at
+every size of a region, in bounded tasks; of them, no pair leaves a task but a link that
+joins two components. The work in such a region is (those outside) times (its rows).
 
 A pair at similarity s shares a region in some tree with probability
 1 - (1 - s**base)**trees: 0.999997 at 0.8 with the defaults.
@@ -36,7 +36,8 @@ A pair at similarity s shares a region in some tree with probability
 Defined cases: null, empty and wordless texts have an empty set and link with nothing;
 texts of fewer words than a shingle are one shingle; rows that repeat an id are judged
 each by its own text; a row without id belongs to the component of its set and is kept
-only if no other document has that set. Only the two named columns are read.
+only if no other document has that set; ids are whole numbers, or text of such (anything
+else is an error); very long texts are read whole. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialise, measure, partitions, pieces
+from .common import bounded_batches, materialise, measure, partitions, pieces, temporary
 from .decontaminate import _portions
 from .words import SPACED, U64, Words, mix, windows
 
@@ -204,38 +205,15 @@ def _meet_in_blocks(members: DataFrame, meets: DataFrame, signs: DataFrame, text
     return left.cogroup(right).applyInArrow(confirm, "a long, b long")
 
 
-def _meet_each_other(outsiders: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of those outside that share a region, are of two components and agree enough."""
-    groups = pieces(outsiders.count(), 500)
-    signed = outsiders.join(signs, "id").select(F.pmod("h", F.lit(groups)).cast("int").alias("g"), "h", "id", "comp", "sign")
-
-    def meet(rows: pa.Table) -> pa.Table:
-        out: dict[tuple[int, int], None] = {}
-        signs, ids, comp = _signs(rows.column("sign")), rows.column("id").to_numpy(), rows.column("comp").to_numpy()
-        least = least_agreement(signs.shape[1], percent)
-        for at in _cells(rows, "h", "g").values():
-            for k, i in enumerate(at.tolist()):
-                rest = at[k + 1 :][comp[at[k + 1 :]] != comp[i]]
-                for y in ids[rest[(signs[rest] == signs[i]).sum(axis=1) >= least]].tolist():
-                    out[min(int(ids[i]), y), max(int(ids[i]), y)] = None
-        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
-
-    return signed.repartition(partitions(groups), "g").groupBy("g").applyInArrow(meet, "a long, b long")
-
-
-def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, crowd: int, block: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """(links found in blocks, pairs of outsiders still to be confirmed)."""
+def _crowded(labelled: DataFrame, texts: DataFrame, trees: int, depth: int, base: int, percent: int, width: int, block: int) -> DataFrame:
+    """Links found where a region still holds several components: all that lie outside its largest one meet that, and each other."""
     signs = labelled.select("id", "sign")
     forest = materialise(_regions(labelled, trees, depth, base), "regions")
     outside = materialise(_outsiders(forest), "outside")
     meets = materialise(outside.select("id", "comp", "main").distinct(), "meets")
     links = _meet_in_blocks(labelled.select("id", "comp", F.col("comp").alias("main")), meets, signs, texts, width, percent, block)
-    pairs = _meet_each_other(outside.where(F.col("outside") <= crowd), signs, percent)
-    heavy = outside.where(F.col("outside") > crowd).select("id", "comp", F.col("h").alias("main")).distinct()
-    if not heavy.isEmpty():
-        heavy = materialise(heavy, "heavy")
-        links = links.unionByName(_meet_in_blocks(heavy, heavy, signs, texts, width, percent, block, mutual=True))
-    return links, pairs.distinct()
+    each = materialise(outside.where("outside > 1").select("id", "comp", F.col("h").alias("main")).distinct(), "each")
+    return links.unionByName(_meet_in_blocks(each, each, signs, texts, width, percent, block, mutual=True))
 
 
 def _neighbours(depth: int, base: int, before: int):
@@ -309,7 +287,15 @@ def _candidates(reps: DataFrame, rows: int, trees: int, depth: int, base: int, b
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, groups: int, most: int = 256) -> DataFrame:
-    """The pairs whose full sets meet the threshold. A hub with many partners is served in several groups."""
+    """The pairs whose full sets meet the threshold. A hub with many partners is served in several groups.
+
+    The end with more partners is the hub, whichever of the two that is.
+    """
+    both = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x"))).groupBy("x").agg(F.count(F.lit(1)).alias("k"))
+    degrees = materialise(both, "degrees")
+    pairs = pairs.join(degrees.toDF("a", "ka"), "a").join(degrees.toDF("b", "kb"), "b")
+    turned = F.col("kb") > F.col("ka")
+    pairs = materialise(pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b")), "hubs")
     hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
     salted = pairs.join(hubs, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
     group = F.pmod(F.xxhash64("a", "part"), F.lit(groups)).cast("int").alias("g")
@@ -325,8 +311,8 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, group
             hubs.setdefault(key, []).append(s)
         for x, part, y, s in zip(left.column("a").to_pylist(), left.column("part").to_pylist(), left.column("b").to_pylist(), _sets(left, "text", width)):
             if any(_linked(s, hub, percent) for hub in hubs.get((x, part), ())):
-                a.append(x)
-                b.append(y)
+                a.append(min(x, y))
+                b.append(max(x, y))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     left, right = partners.repartition(partitions(groups), "g"), served.repartition(partitions(groups), "g")
@@ -390,35 +376,33 @@ def near_duplicates(
     depth: int = 6,
     base: int = 4,
     before: int = 1,
-    crowd: int = 256,
-    block: int = 4096,
+    block: int = 512,
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links of percent similarity or more) and kept."""
     bounded_batches(docs.sparkSession)
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sketches = materialise(_sketch(source, shingle_words, trees, depth), "sketch")
-    classes = sketches.where("n > 0 and id is not null").groupBy("print").agg(F.min(F.struct("id", "sign")).alias("m"))
-    reps = materialise(classes.select("print", "m.id", "m.sign"), "classes")
-    count = reps.count()
-    pairs = materialise(_candidates(reps, count, trees, depth, base, before), "pairs")
-    # Whoever shares a region with anyone is in some pair; all later steps stay among these. Always joined by
-    # shuffle: they grow with the corpus.
-    ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids").hint("shuffle_hash")
-    texts = materialise(source.join(ids, "id", "left_semi"), "texts")
-    near = reps.select("id", "sign").join(ids, "id", "left_semi")
-    groups = pieces(2 * measure(texts, "text")[1], 4 << 20)
-
-    def confirmed(asked: DataFrame) -> DataFrame:
-        return materialise(_confirm(materialise(asked.select("a", "b"), "asked"), texts, shingle_words, percent, groups), "links")
-
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
-    roots = tree_roots(confirmed(best))
-    roots = merged(roots, confirmed(_between(pairs, roots).join(best, ["a", "b"], "left_anti")))
-    labelled = materialise(near.join(roots, "id", "left").select("id", "sign", F.coalesce("root", "id").alias("comp")), "labelled")
-    found, rest = _crowded(labelled, texts, trees, depth, base, percent, shingle_words, crowd, block)
-    roots = merged(roots, materialise(found, "links"))
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    roots = merged(roots, confirmed(_between(rest, roots)))
+    with temporary(docs.sparkSession):  # all but what the result reads goes at the end
+        source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+        sketches = materialise(_sketch(source, shingle_words, trees, depth), "sketch", keep=True)
+        classes = sketches.where("n > 0 and id is not null").groupBy("print").agg(F.min(F.struct("id", "sign")).alias("m"))
+        reps = materialise(classes.select("print", "m.id", "m.sign"), "classes", keep=True)
+        count = reps.count()
+        pairs = materialise(_candidates(reps, count, trees, depth, base, before), "pairs")
+        # Whoever shares a region with anyone is in some pair; all later steps stay among these. Always joined by
+        # shuffle: they grow with the corpus.
+        ids = materialise(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids").hint("shuffle_hash")
+        texts = materialise(source.join(ids, "id", "left_semi"), "texts")
+        near = reps.select("id", "sign").join(ids, "id", "left_semi")
+        groups = pieces(2 * measure(texts, "text")[1], 4 << 20)
+
+        def confirmed(asked: DataFrame) -> DataFrame:
+            return materialise(_confirm(materialise(asked.select("a", "b"), "asked"), texts, shingle_words, percent, groups), "links")
+
+        best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
+        roots = tree_roots(confirmed(best))
+        roots = merged(roots, confirmed(_between(pairs, roots).join(best, ["a", "b"], "left_anti")))
+        labelled = materialise(near.join(roots, "id", "left").select("id", "sign", F.coalesce("root", "id").alias("comp")), "labelled")
+        roots = merged(roots, materialise(_crowded(labelled, texts, trees, depth, base, percent, shingle_words, block), "links"))
+        roots = materialise(roots, "roots", keep=True)
 
     labels = reps.select("print", "id").join(roots, "id", "left").select("print", F.coalesce("root", "id").alias("root"))
     found = sketches.select("id", "n", "print").join(labels, "print", "left")

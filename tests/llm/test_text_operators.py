@@ -179,10 +179,10 @@ def near_copies(seed, n, length=40):
     return list(enumerate(docs, 10))
 
 
-@pytest.mark.parametrize("width,seed,crowd", [(2, 1, 256), (5, 2, 2)])
-def test_near_duplicates_against_brute_force(spark, width, seed, crowd):
+@pytest.mark.parametrize("width,seed,block", [(2, 1, 512), (5, 2, 2)])
+def test_near_duplicates_against_brute_force(spark, width, seed, block):
     docs = near_copies(seed, 160)
-    got = near_dedup.near_duplicates(frame(spark, docs), shingle_words=width, crowd=crowd).collect()
+    got = near_dedup.near_duplicates(frame(spark, docs), shingle_words=width, block=block).collect()
     assert {r.doc_id: r.component_id for r in got} == brute_components(docs, width)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
@@ -197,27 +197,25 @@ def test_near_duplicates_odd_input(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).count() == 0
 
 
-def crowded(spark, rows, crowd, **options):
-    """Links and candidates of rows (id, component, text, values of one tree), of regions of one value or more."""
+def crowded(spark, rows, block):
+    """Links of rows (id, component, text, values of one tree), of regions of one value or more."""
     signed = [(i, np.array(values, dtype=">u4").tobytes(), comp) for i, comp, _, values in rows]
     labelled, texts = frame(spark, signed, "id long, sign binary, comp long"), frame(spark, [(i, t) for i, _, t, _ in rows], "id long, text string")
-    found = near_dedup._crowded(labelled, texts, 1, len(rows[0][3]), 1, 80, 1, crowd, **options)
-    return {(r.a, r.b) for part in found for r in part.collect()}
+    return near_dedup._crowded(labelled, texts, 1, len(rows[0][3]), 1, 80, 1, block)
 
 
-def test_outsiders_meet_the_largest_component_of_a_deeper_region(spark):
-    rows = [(i, 1, f"main {i}", (1, 10)) for i in (1, 2, 3)] + [(4, 4, "a b c d", (1, 20)), (5, 4, "a b c d e", (1, 20)), (6, 6, "b c d e", (1, 20))]
-    assert (5, 6) in crowded(spark, rows, crowd=0)
-
-
-@pytest.mark.parametrize("block", [1, 2, 4096])
+@pytest.mark.parametrize("block", [1, 2, 512])
 def test_outsiders_of_a_crowded_region_all_meet_each_other(spark, block):
     rows = [(i, 1, f"main {i}", (1, 10)) for i in range(1, 10)] + [(20 + i, 20 + i, f"a b c d e{i % 4}" if i < 8 else f"own {i}", (1, 20 + i)) for i in range(10)]
-    links = frame(spark, sorted(crowded(spark, rows, crowd=3, block=block)), "a long, b long")
-    assert {r.id: r.root for r in near_dedup.components(links).collect()} == {24: 20, 25: 21, 26: 22, 27: 23}
-    several = [*rows, (40, 40, "p q r s t u v w x y", (1, 1)), (41, 41, "p q r s t u v w x", (1, 2)), (42, 42, "q r s t u v w x y", (1, 3))]
-    links = frame(spark, sorted(crowded(spark, several, crowd=3, block=block)), "a long, b long")
-    assert {r.id: r.root for r in near_dedup.components(links).collect()} == {24: 20, 25: 21, 26: 22, 27: 23, 41: 40, 42: 40}
+    several = [*rows, (40, 40, "p q r s t u v w x y", (1, 1)), (41, 41, "p q r s t u v w x", (1, 2)), (42, 42, "q r s t u v w x y", (1, 3)), (43, 43, "main 4", (1, 4))]
+    assert {r.id: r.root for r in near_dedup.components(crowded(spark, several, block)).collect()} == {24: 20, 25: 21, 26: 22, 27: 23, 41: 40, 42: 40, 43: 4}
+
+
+def test_thousands_of_outsiders(spark):
+    rows = [(i, 0, f"main {i}", (1, 1)) for i in range(2000)] + [(2000 + i, 2000 + i, f"a b c d e f g h w{i % 1000} x{i % 1000}", (1, 1)) for i in range(1500)]
+    rows = [(i, c, t if i < 2000 else " ".join([*(f"v{i % 1000}w{k}" for k in range(8)), "y"]), v) for i, c, t, v in rows]
+    found = {r.id: r.root for r in near_dedup.components(crowded(spark, rows, 512)).collect()}
+    assert found == {3000 + i: 2000 + i for i in range(500)}
 
 
 def test_components_of_a_long_chain(spark):
