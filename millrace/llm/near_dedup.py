@@ -124,7 +124,7 @@ def _blocks_of(members: DataFrame, meets: DataFrame, block: int, mutual: bool) -
     guests = meets.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     size = members.select("main").join(guests, "main").groupBy("main", "parts").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
     size = materialise(size, "sizes")
-    groups = pieces((size.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0) + meets.count(), 10_000)
+    groups = pieces((size.agg(F.sum(F.col("n") * F.col("parts"))).first()[0] or 0) + meets.count(), 1_000)
     deal = F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int").alias("g")
     share = lambda over: F.pmod(F.xxhash64("id"), F.col(over)).cast("int")
     every = lambda over: F.explode(F.sequence(F.lit(0), F.col(over) - 1))
@@ -178,7 +178,7 @@ def _meet_in_blocks(members: DataFrame, meets: DataFrame, signs: DataFrame, text
     left = aside(outer.join(signs, "id")).repartition(partitions(groups), "g").groupBy("g")
     right = members.join(signs, "id").repartition(partitions(groups), "g").groupBy("g")
     some = materialise(left.cogroup(right).applyInArrow(screen, "main long, cell int, id long, comp long, outer boolean"), "screened")
-    groups = pieces(some.count(), 1000)
+    groups = pieces(some.count(), 250)
     full = some.join(texts, "id").join(signs, "id").withColumn("g", F.pmod(F.xxhash64("main", "cell"), F.lit(groups)).cast("int"))
 
     def confirm(left: pa.Table, right: pa.Table) -> pa.Table:
