@@ -53,15 +53,25 @@ def count_emoji(text: Column) -> Column:
     return F.regexp_count(text, F.lit(fixed.EMOJI))
 
 
+def _may_match(text: Column, pattern: str) -> Column:
+    """A cheap test that every text with a match passes."""
+    if pattern == BARE_URL:
+        return F.lower(text).contains("www.")
+    return text.contains({URL: "://", EMAIL: "@"}.get(pattern, ""))
+
+
 def matches(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """All matches; the pattern runs only where it can match at all. A null text has null matches."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.when(_may_match(text, pattern) | text.isNull(), found).otherwise(F.array().cast("array<string>"))
 
 
 def mask_with(text: Column, pattern: str, token: Callable[[Column], Column]) -> Column:
     """Replace every match by a value computed from it: what lies between, interleaved with the tokens."""
     between = F.split(text, pattern, -1)
-    tokens = F.transform(matches(text, pattern), token)
-    return F.array_join(F.zip_with(between, tokens, lambda s, t: F.concat(s, F.coalesce(t, F.lit("")))), "")
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), token)
+    masked = F.array_join(F.zip_with(between, tokens, lambda s, t: F.concat(s, F.coalesce(t, F.lit("")))), "")
+    return F.when(_may_match(text, pattern), masked).otherwise(text)
 
 
 def trim_url(url: Column) -> Column:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def new_entries(entries: DataFrame, seen: DataFrame, order: tuple[str, ...] = ("shard_file", "pos")) -> DataFrame:
     """Sitemap entries whose URL isn't in seen (url), one for each URL: the first by lastmod, then by order."""
-    window = Window.partitionBy("loc").orderBy(F.desc("lastmod"), *order)
-    newest = entries.withColumn("_rn", F.row_number().over(window)).where("_rn = 1")
+    row = F.struct(*[F.col(f"`{c}`") for c in entries.columns])
+    first = entries.groupBy("loc", F.coalesce("lastmod", F.lit("")).alias("at")).agg(F.min_by(row, F.struct(*order)).alias("e"))
+    newest = first.groupBy("loc").agg(F.max_by("e", "at").alias("e")).select("e.*")
     return newest.join(seen.select(F.col("url").alias("loc")).distinct(), "loc", "left_anti").select(*entries.columns)
 
 

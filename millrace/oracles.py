@@ -135,6 +135,20 @@ def _docs_query(**columns: str) -> str:
 _ENTRIES = """e AS (SELECT url AS loc, CASE WHEN page_id % 9 = 0 THEN '' ELSE '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') END AS lastmod, page_id AS pos FROM pages)"""
 
 
+_THREADS = r"""b AS (SELECT conv_id, CAST(turn AS INTEGER) AS turn, role, 'm ' || trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')) AS body,
+                 'https://example.org/discussion/conv-' || conv_id AS url, 'conv-' || conv_id AS post_id FROM conversations),
+r AS (SELECT *, CAST(ceil(turn / 2.0) AS INTEGER) AS page_no FROM b WHERE turn > 0),
+s AS (SELECT conv_id, max(page_no) AS pages, count(*) AS n FROM r GROUP BY conv_id),
+p AS (SELECT b.*, coalesce(s.pages, 1) AS pages, coalesce(s.n, 0) AS n FROM b LEFT JOIN s ON s.conv_id = b.conv_id WHERE turn = 0),
+posts AS (SELECT post_id, url, 'Title ' || conv_id AS title, 'Topic' AS topic, 't-' || conv_id % 3 AS topic_slug, role AS author, false AS author_inactive, role = 'system' AS is_staff,
+                 'Feb 3, 2024 • 12:05 AM' AS publish_time, '2024-02-03T00:05:00' AS publish_time_iso, '2024-02-03' AS lastmod, CASE WHEN conv_id % 4 = 1 THEN '' ELSE body END AS content,
+                 CASE WHEN conv_id % 4 = 1 THEN 0 ELSE CAST(len(string_split(body, ' ')) AS INTEGER) END AS word_count, CASE WHEN conv_id % 4 = 1 THEN 0 ELSE CAST(length(body) AS INTEGER) END AS char_count,
+                 CAST(n AS INTEGER) AS replies_reported, CASE WHEN conv_id % 4 = 1 THEN 'failed' WHEN conv_id % 3 < 2 THEN 'kept' ELSE 'skipped_irrelevant' END AS outcome FROM p),
+pg AS (SELECT p.conv_id, p.url, p.pages, p.n, CAST(unnest(range(1, p.pages + 1)) AS INTEGER) AS page_no FROM p),
+have AS (SELECT * FROM pg WHERE NOT (conv_id % 5 = 0 AND page_no = 2)),
+walk AS (SELECT * FROM pg WHERE conv_id % 5 <> 0 OR page_no = 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     relevance = f"SELECT doc_id, source, {_hits(chr(39) * 2 + ' || lang || ' + _q(' ') + ' || text')} AS relevance_hits FROM documents"
     return {
@@ -176,6 +190,26 @@ def oracle_sql() -> dict[str, str]:
         "q_frontier_order": f"WITH {_ENTRIES} SELECT loc, lastmod, pos FROM e ORDER BY lastmod DESC, pos",
         "q_dedupe_first": "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS n FROM events) WHERE n = 1",
         "q_checkpoint_nest_flatten": f"WITH {_TURNS} SELECT r.post_id, p.author AS post_author, r.seq, r.reply_id, r.author, CAST(length(r.content) AS INTEGER) AS chars FROM r JOIN p ON r.post_id = p.post_id",
+        "q_checkpoint_posts": f"WITH {_TURNS} SELECT post_id, 'https://example.org/discussion/' || post_id AS url, author, content, '2024-01-' || lpad(CAST(CAST(post_id AS INTEGER) % 28 + 1 AS VARCHAR), 2, '0') AS publish_time_iso FROM p",
+        "q_csv_round_trip": """SELECT conv_id, turn, role, 'say "a, b"' || chr(10) || 'and ' || text || chr(10) || chr(10) || ',end' AS text FROM conversations""",
+        "q_thread_posts": f"WITH {_THREADS} SELECT * FROM posts",
+        "q_thread_outcomes": f"WITH {_THREADS} SELECT outcome, count(*) AS n FROM posts GROUP BY outcome",
+        "q_thread_replies": f"""WITH {_THREADS}, k AS (SELECT r.*, CAST(row_number() OVER (PARTITION BY r.conv_id ORDER BY r.turn) AS INTEGER) AS seq FROM r JOIN have h ON h.conv_id = r.conv_id AND h.page_no = r.page_no)
+            SELECT post_id || '#' || seq AS reply_id, post_id, url AS post_url, seq, page_no, role AS author, turn % 3 = 0 AS author_inactive, role = 'system' AS is_staff,
+            'Jan ' || (turn + 1) || ', 2024 • 3:0' || turn % 10 || ' PM' AS publish_time, '2024-01-' || lpad(CAST(turn + 1 AS VARCHAR), 2, '0') || 'T15:0' || turn % 10 || ':00' AS publish_time_iso,
+            body AS content, CAST(len(string_split(body, ' ')) AS INTEGER) AS word_count, turn AS reactions FROM k""",
+        "q_thread_pager": f"""WITH {_THREADS} SELECT url, page_no, array_to_string(range(1, pages + 1), ',') AS pager, CAST(n AS INTEGER) AS reported,
+            CAST((SELECT count(*) FROM r WHERE r.conv_id = have.conv_id AND r.page_no = have.page_no) AS INTEGER) AS replies FROM have""",
+        "q_thread_walk": f"WITH {_THREADS} SELECT url, page_no FROM walk",
+        "q_thread_records": f"""WITH {_THREADS}, w AS (SELECT conv_id, url, CAST(max(page_no) AS INTEGER) AS f FROM walk WHERE page_no <= 2 GROUP BY conv_id, url),
+            c AS (SELECT w.url, f, CAST(count(r.turn) AS INTEGER) AS k FROM w LEFT JOIN r ON r.conv_id = w.conv_id AND r.page_no <= f GROUP BY w.url, f)
+            SELECT post_id, replies_reported, k AS replies_scraped, f AS reply_pages_fetched, f >= 2 AS hit_page_cap, k AS n FROM posts JOIN c ON c.url = posts.url WHERE outcome = 'kept'""",
+        "q_sitemap_index": "SELECT 'https://example.org/sitemap_disc_group__' || page_id || '.xml' AS loc, CAST(page_id AS INTEGER) AS shard_no FROM pages WHERE page_id % 3 = 1",
+        "q_sitemap_shards": """SELECT 'https://example.org/discussion/' || page_id || '?a=1&b=2' AS loc, CASE WHEN page_id % 4 = 0 THEN '' ELSE '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') END AS lastmod
+            FROM pages WHERE page_id % 3 <> 0""",
+        "q_subset_nonstaff": f"WITH {_TURNS} SELECT reply_id, author, CASE WHEN turn % 6 = 5 THEN '' ELSE CAST(2013 + turn AS VARCHAR) || '-03-04T05:06:00' END AS publish_time_iso FROM r WHERE NOT is_staff",
+        "q_subset_recent": f"WITH {_TURNS} SELECT reply_id, author, CAST(2013 + turn AS VARCHAR) || '-03-04T05:06:00' AS publish_time_iso FROM r WHERE turn % 6 <> 5 AND 2013 + turn >= 2017",
+        "q_frontier_target": f"WITH {_ENTRIES} SELECT loc, lastmod FROM e WHERE pos % 4 <> 1 ORDER BY lastmod DESC, pos LIMIT 40",
         "q_corpus_report": f"""WITH {_CHAIN} SELECT count(*) FILTER (WHERE doc_id % 4 = 0) AS posts, count(*) FILTER (WHERE doc_id % 4 <> 0) AS replies, count(*) FILTER (WHERE mojibake) AS mojibake_docs,
             CAST(sum(n_url) AS BIGINT) AS urls, CAST(sum(n_email) AS BIGINT) AS emails, CAST(sum(n_phone) AS BIGINT) AS phones, count(*) FILTER (WHERE text_changed) AS changed,
             count(*) FILTER (WHERE n_emoji > 0) AS with_emoji, count(*) FILTER (WHERE doc_id % 4 <> 0 AND doc_id % 12 = 0) AS staff_replies, count(*) FILTER (WHERE doc_id % 4 <> 0 AND doc_id % 15 = 0) AS op_replies,

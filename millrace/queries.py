@@ -11,14 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixed
+from . import fixed, schemas
 from .functions import extract as E
 from .functions import html as H
 from .functions import text as X
 from .operators import enrich, frontier, relevance
-from .plans import clean, report
+from .plans import clean, ingest, report
 from .sources.scratch import folder, written
-from .sources.tables import first_by
+from .sources.tables import append_checkpoint, first_by, read_checkpoint, read_csv, read_sitemap_index, read_sitemap_shards, write_csv
 from .streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,14 +178,149 @@ def q_dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_by(events, ["user_id", "event_type"], ["event_id"])
 
 
-def q_checkpoint_nest_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as checkpoint records; columns that they don't have are null."""
     posts, replies = _turns(spark, sf_dir)
-    nested = replies.groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct("seq", "reply_id", "author", "content"))).alias("replies"))
-    threads = posts.select("post_id", F.struct("author", "content").alias("post")).join(nested, "post_id", "left")
-    path = folder(spark, "threads")
-    threads.write.json(path)
-    back = spark.read.schema(threads.schema).json(path)
-    return back.select("post_id", F.col("post.author").alias("post_author"), F.explode("replies").alias("r")).select("post_id", "post_author", "r.seq", "r.reply_id", "r.author", F.length("r.content").alias("chars"))
+    stamp = lambda c: F.concat(F.lit("2024-01-"), F.lpad((F.col(c).cast("int") % 28 + 1).cast("string"), 2, "0"))
+    fields = lambda known, all_fields: F.struct(*[(known[n] if n in known else F.lit(None)).cast(k).alias(n) for n, k in (x.split() for x in all_fields.split(", "))])
+    reply = {n: F.col(n) for n in ("reply_id", "post_id", "seq", "page_no", "author", "is_staff", "content")} | {"publish_time_iso": stamp("turn")}
+    nested = replies.groupBy("post_id").agg(F.array_sort(F.collect_list(F.struct("seq", fields(reply, schemas.REPLY_FIELDS).alias("r")))).alias("rs"))
+    post = {n: F.col(n) for n in ("post_id", "author", "content")} | {"url": F.concat(F.lit("https://example.org/discussion/"), "post_id"), "publish_time_iso": stamp("post_id")}
+    none = F.array().cast(f"array<struct<{', '.join(x.replace(' ', ': ', 1) for x in schemas.REPLY_FIELDS.split(', '))}>>")
+    records = posts.select("post_id", fields(post, schemas.POST_FIELDS).alias("post")).join(nested, "post_id", "left")
+    return records.select("post", F.coalesce(F.transform("rs", lambda x: x["r"]), none).alias("replies"))
+
+
+def q_checkpoint_nest_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checkpoint that is appended to twice, the second time with half of the threads again, read back and flattened."""
+    path = folder(spark, "checkpoint")
+    threads = _threads(spark, sf_dir)
+    append_checkpoint(threads, path)
+    append_checkpoint(threads.where("CAST(post.post_id AS int) % 2 = 0"), path)
+    posts, replies = ingest.flatten(read_checkpoint(spark, path))
+    authors = posts.select("post_id", F.col("author").alias("post_author"))
+    return replies.join(authors, "post_id").select("post_id", "post_author", "seq", "reply_id", "author", F.length("content").alias("chars"))
+
+
+def q_checkpoint_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder(spark, "checkpoint")
+    append_checkpoint(_threads(spark, sf_dir), path)
+    append_checkpoint(_threads(spark, sf_dir), path)
+    return ingest.flatten(read_checkpoint(spark, path))[0].select("post_id", "url", "author", "content", "publish_time_iso")
+
+
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes and line feeds through CSV files and back."""
+    t = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.concat(F.lit('say "a, b"\nand '), "text", F.lit("\n\n,end")).alias("text"))
+    path = folder(spark, "csv")
+    write_csv(t, path)
+    return read_csv(spark, path, "conv_id long, turn long, role string, text string")
+
+
+_BODY = "'m ' || trim(regexp_replace(text, '[^A-Za-z0-9]+', ' '))"
+
+
+def _thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as thread pages (url, page_no, html): two replies a page, an empty one besides; page 2 of every fifth thread is missing."""
+    t = _table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "role", f"{_BODY} AS body")
+    replies = t.where("turn > 0").withColumn("page_no", F.ceil(F.col("turn") / 2).cast("int"))
+    one = F.concat(F.lit('<ins-anon-reply><b class="rhb-name"> '), "role", F.when(F.col("turn") % 3 == 0, " (Inactive)").otherwise(""), F.lit(' </b><span class="rhb-stamp">Jan '), F.col("turn") + 1, F.lit(", 2024 • 3:0"), F.col("turn") % 10, F.lit(' PM</span><p>'), "body", F.lit('</p><p> </p><span class="rbw-foot">liked by '), "turn", F.lit("</span></ins-anon-reply>"))
+    by_page = replies.groupBy("conv_id", "page_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", one.alias("h")))), lambda x: x["h"]), "").alias("replies"))
+    size = replies.groupBy("conv_id").agg(F.max("page_no").alias("pages"), F.count(F.lit(1)).alias("n"))
+    posts = t.where("turn = 0").select("conv_id", "role", "body").join(size, "conv_id", "left").fillna({"pages": 1, "n": 0})
+    path = F.concat(F.lit("/discussion/conv-"), "conv_id")
+    pager = F.array_join(F.transform(F.sequence(F.lit(1), F.col("pages")), lambda k: F.concat(F.lit('<a href="'), path, F.lit("/?p="), k, F.lit('">'), k, F.lit("</a>"))), "")
+    post = F.concat(
+        F.lit('<app-individual-post><h1 class="pb-title">Title <i>'), "conv_id", F.lit('</i></h1><a class="pb-topic" href="/topics/t-'), F.col("conv_id") % 3, F.lit('/">Topic</a><span class="pb-author-name">'), "role",
+        F.lit('</span><span class="pb-created-date">Feb 3, 2024 • 12:05 AM</span><div class="pb-desc"><script>no</script>'), F.when(F.col("conv_id") % 4 != 1, F.col("body")).otherwise(" "), F.lit("</div></app-individual-post>"),
+    )
+    pages = posts.withColumn("page_no", F.explode(F.sequence(F.lit(1), F.col("pages")))).where("NOT (conv_id % 5 = 0 AND page_no = 2)").join(by_page, ["conv_id", "page_no"], "left")
+    foreign = F.lit('<a href="/discussion/other?p=77">77</a><a href="https://example.org/discussion/conv-1?p=78">78</a>')
+    html = F.concat(F.lit("<html><body>"), F.when(F.col("page_no") == 1, post).otherwise(""), F.lit('<div class="number-of-replies">'), F.col("n"), F.lit(" replies</div>"), F.coalesce("replies", F.lit("")), F.lit("<ins-anon-reply><p> </p></ins-anon-reply>"), pager, foreign)
+    return pages.select(F.concat(F.lit("https://example.org"), path).alias("url"), "page_no", html.alias("html"))
+
+
+_SITE = fixed.SiteProfile(staff=STAFF, topics=("t-0", "t-1"))
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(ingest.parse_pages(_dealt(_thread_pages(spark, sf_dir)), _SITE), "parsed")
+
+
+def _posts(parsed: DataFrame) -> DataFrame:
+    return ingest.posts_of(parsed.where("page_no = 1").withColumn("lastmod", F.lit("2024-02-03")), _SITE, "topic")
+
+
+def q_thread_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "post_id url title topic topic_slug author author_inactive is_staff publish_time publish_time_iso lastmod content word_count char_count replies_reported outcome".split()
+    return _posts(_parsed(spark, sf_dir)).select(*columns)
+
+
+def q_thread_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _posts(_parsed(spark, sf_dir)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_thread_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replies = ingest.replies_of(_parsed(spark, sf_dir), _SITE)
+    return replies.select("reply_id", "post_id", "post_url", "seq", "page_no", "author", "author_inactive", "is_staff", "publish_time", "publish_time_iso", "content", "word_count", "reactions")
+
+
+def q_thread_pager(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _parsed(spark, sf_dir)
+    return parsed.select("url", "page_no", F.array_join("page.pager_pages", ",").alias("pager"), E.first_number(F.col("page.reported")).alias("reported"), F.size("page.replies").alias("replies"))
+
+
+def q_thread_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.assemble_threads(_parsed(spark, sf_dir)).select("url", "page_no")
+
+
+def q_thread_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of kept threads, of two pages at most."""
+    parsed = _parsed(spark, sf_dir)
+    walked = written(ingest.assemble_threads(parsed, max_pages=2), "walked")
+    records = ingest.thread_records(_posts(parsed), ingest.replies_of(walked, _SITE), walked.select("url", "page_no"), max_pages=2)
+    return records.select("post.post_id", "post.replies_reported", "post.replies_scraped", "post.reply_pages_fetched", "post.hit_page_cap", F.size("replies").alias("n"))
+
+
+def _xml(entries: DataFrame, root: str, path: str) -> None:
+    """Entries (page_id, x) as XML files of at most 10,000 each."""
+    shard = F.floor(F.col("page_id") / 10_000).alias("shard")
+    files = entries.groupBy(shard).agg(F.concat(F.lit(f"<{root}>"), F.array_join(F.collect_list("x"), ""), F.lit(f"</{root}>")).alias("xml"))
+    files.write.partitionBy("shard").text(path)
+
+
+def q_sitemap_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    name = F.when(F.col("page_id") % 3 == 0, "sitemap_disc_other__").when(F.col("page_id") % 3 == 1, "sitemap_disc_group__").otherwise("sitemap_group__")
+    path = folder(spark, "sitemap")
+    _xml(pages.select("page_id", F.concat(F.lit("<sitemap><loc> https://example.org/"), name, "page_id", F.lit(".xml </loc></sitemap>")).alias("x")), "sitemapindex", path)
+    return read_sitemap_index(spark, path, "group")
+
+
+def q_sitemap_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    loc = F.concat(F.when(F.col("page_id") % 3 == 0, "https://example.org/news/").otherwise("https://example.org/discussion/"), "page_id", F.lit("?a=1&amp;b=2"))
+    stamp = F.when(F.col("page_id") % 4 == 0, "").otherwise(F.concat(F.lit("<lastmod> 2024-01-"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit("</lastmod>")))
+    path = folder(spark, "sitemap")
+    _xml(pages.select("page_id", F.concat(F.lit("<url><loc>"), loc, F.lit("</loc>"), stamp, F.lit("</url>")).alias("x")), "urlset", path)
+    return read_sitemap_shards(spark, path).select("loc", "lastmod")
+
+
+def _subset(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        posts, replies = _turns(spark, sf_dir)
+        flagged = enrich.with_is_op(replies, posts).withColumn("publish_time_iso", F.when(F.col("turn") % 6 == 5, "").otherwise(F.concat((F.lit(2013) + F.col("turn")).cast("string"), F.lit("-03-04T05:06:00"))))
+        return enrich.research_subsets(flagged)[name].select("reply_id", "author", "publish_time_iso")
+
+    return run
+
+
+def q_frontier_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a cumulative target of all known threads and forty more leaves to fetch, newest first."""
+    entries = _entries(spark, sf_dir)
+    seen = entries.where("pos % 4 = 1").select(F.col("loc").alias("url"))
+    have = seen.count()
+    return frontier.newest_first(frontier.new_entries(entries, seen)).limit(frontier.remaining(have + 40, have)).select("loc", "lastmod")
 
 
 def q_corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,11 +330,9 @@ def q_corpus_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts, replies = _turns(spark, sf_dir)
-    stamp = lambda c: F.concat(F.lit("2024-01-"), F.lpad((F.col(c).cast("int") % 28 + 1).cast("string"), 2, "0"))
-    nested = replies.withColumn("publish_time_iso", stamp("turn")).groupBy("post_id").agg(F.collect_list(F.struct("publish_time_iso")).alias("replies"))
-    threads = posts.select("post_id", F.struct(stamp("post_id").alias("publish_time_iso")).alias("post")).join(nested, "post_id", "left")
-    return report.checkpoint_totals(threads.withColumn("replies", F.coalesce("replies", F.array().cast("array<struct<publish_time_iso:string>>"))))
+    path = folder(spark, "checkpoint")
+    append_checkpoint(_threads(spark, sf_dir), path)
+    return report.checkpoint_totals(read_checkpoint(spark, path, distinct=False))
 
 
 def q_html_article(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +396,19 @@ def queries() -> dict[str, Query]:
         "q_frontier_order": q_frontier_order,
         "q_dedupe_first": q_dedupe_first,
         "q_checkpoint_nest_flatten": q_checkpoint_nest_flatten,
+        "q_checkpoint_posts": q_checkpoint_posts,
+        "q_csv_round_trip": q_csv_round_trip,
+        "q_thread_posts": q_thread_posts,
+        "q_thread_outcomes": q_thread_outcomes,
+        "q_thread_replies": q_thread_replies,
+        "q_thread_pager": q_thread_pager,
+        "q_thread_walk": q_thread_walk,
+        "q_thread_records": q_thread_records,
+        "q_sitemap_index": q_sitemap_index,
+        "q_sitemap_shards": q_sitemap_shards,
+        "q_subset_nonstaff": _subset("non_staff"),
+        "q_subset_recent": _subset("recent"),
+        "q_frontier_target": q_frontier_target,
         "q_corpus_report": q_corpus_report,
         "q_status": q_status,
         "q_html_article": q_html_article,

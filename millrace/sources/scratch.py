@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, tag: str) -> str:
-    """A new place below spark.checkpoint.dir, or below a local folder where that is unset (tests)."""
+    """A new place below spark.checkpoint.dir, or, in local mode alone, below a local folder where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import schemas
 
@@ -22,7 +21,9 @@ def read_csv(spark: SparkSession, path: str, fields: str, missing: tuple[str, ..
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="")
+    """CSV with a header; every file begins with a byte order mark, which goes before the first column's name."""
+    marked = df.withColumnRenamed(df.columns[0], f"\ufeff{df.columns[0]}")
+    marked.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="")
 
 
 def read_sitemap_index(spark: SparkSession, path: str, group: str) -> DataFrame:
@@ -62,9 +63,10 @@ def append_checkpoint(threads: DataFrame, path: str) -> None:
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of every key in a given order (dropDuplicates promises none)."""
-    window = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*[F.col(o) for o in order])
-    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+    """The first row of every key in a given order (dropDuplicates promises none). Partial results are merged, so no key's rows meet in one task."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(row, F.struct(*[F.col(o) for o in order])).alias("_first"))
+    return first.select("_first.*")
 
 
 def file_facts(spark: SparkSession, path: str) -> DataFrame:
