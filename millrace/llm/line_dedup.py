@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart
+from .common import apart, materialise
 
 OUTPUTS = ("n_lines", "n_dropped", "kept_text")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -47,7 +47,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Each step of these arrays is computed once: key, then hash; short lines have no hash.
     hashes = F.transform(F.transform(lines, line_key), lambda k: F.when(F.length(k) >= min_chars, _hash(k)))
     which = [ident.alias("id"), F.xxhash64(text).alias("t"), F.xxhash64(F.lit("text"), text).alias("u")]
-    seen = docs.select(ident.alias("id"), F.explode(hashes).alias("h")).where("h is not null").distinct()
+    # Hashed before lines are exploded: once a text. Written, as counts and positions both read it.
+    texts = docs.select(*which, hashes.alias("hashes"))
+    placed = materialise(texts.select("id", "t", "u", F.posexplode("hashes").alias("pos", "h")).where("h is not null"), "lines")
+    seen = placed.select("id", "h").distinct()
     common = (
         seen.groupBy("h")
         .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
@@ -55,9 +58,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("h", "keeper")
     )
     drops = seen.join(common, "h").where(~F.col("id").eqNullSafe(F.col("keeper"))).select(F.col("id").alias("d_id"), F.col("h").alias("d_h"))
-    # Hashed before lines are exploded: once a text.
-    texts = docs.select(*which, hashes.alias("hashes"))
-    placed = texts.select("id", "t", "u", F.posexplode("hashes").alias("pos", "h")).where("h is not null")
     # A set: rows alike in id and text add nothing to one another, however many they are.
     gone = (
         placed.join(drops, F.col("id").eqNullSafe(F.col("d_id")) & (F.col("h") == F.col("d_h")), "left_semi")
