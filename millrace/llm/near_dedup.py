@@ -291,16 +291,18 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, group
 
     The end with more partners is the hub, whichever of the two that is.
     """
+    # Only ends with more than `most` partners matter here; they are few, and joined by broadcast while their table is small.
     both = pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x"))).groupBy("x").agg(F.count(F.lit(1)).alias("k"))
-    degrees = materialise(both, "degrees")
-    pairs = pairs.join(degrees.toDF("a", "ka"), "a").join(degrees.toDF("b", "kb"), "b")
-    turned = F.col("kb") > F.col("ka")
-    pairs = materialise(pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b")), "hubs")
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
-    salted = pairs.join(hubs, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    many = materialise(both.where(F.col("k") > most), "hubs")
+    pairs = pairs.join(many.toDF("a", "ka"), "a", "left").join(many.toDF("b", "kb"), "b", "left")
+    turned = F.coalesce("kb", F.lit(0)) > F.coalesce("ka", F.lit(0))
+    pairs = pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
+    parts = many.select(F.col("x").alias("a"), F.ceil(F.col("k") / most).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int")
+    salted = materialise(pairs.join(parts, "a", "left").select("a", "b", part.alias("part")), "pairs")
     group = F.pmod(F.xxhash64("a", "part"), F.lit(groups)).cast("int").alias("g")
     partners = salted.join(texts.withColumnRenamed("id", "b"), "b").select(group, "a", "part", "b", "text")
-    served = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).join(texts.withColumnRenamed("id", "a"), "a")
+    served = salted.select("a", "part").distinct().join(texts.withColumnRenamed("id", "a"), "a")
     # New names: both sides come from the same tables.
     served = served.select(group, F.col("a").alias("hub"), F.col("part").alias("hub_part"), F.col("text").alias("hub_text"))
 
